@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from signals.functions import lexicon as lx
 from signals.operators import voice_rules
 from signals.params import Params
-from signals.sources.io import available
+from signals.sources.io import available, stage
 
 Scorer = Callable[[DataFrame], DataFrame]
 RAW_FIELDS = voice_rules.SCORED_FIELDS
@@ -147,6 +147,8 @@ def predict(comments: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     ruled = voice_rules.classify_rules(texts)
     if scorer is None:
         return default_labels(ruled)
+    # Read three times below, so the rules are evaluated once and written.
+    ruled = stage(ruled)
     return merge_rules_and_scores(ruled, score_distinct_texts(ruled, scorer))
 
 

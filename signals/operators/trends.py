@@ -334,8 +334,10 @@ def month_pivot(df: DataFrame, dimension: str, value: str, members: list[str]) -
     )
 
 
-def crosstab(df: DataFrame, row: str, column: str, members: list[str]) -> DataFrame:
-    """Counts of row label by column label; a missing cell is 0."""
-    return df.groupBy(F.col(row).alias("label")).agg(
-        *[F.count_if(F.col(column) == m).alias(m) for m in members]
+def crosstab(df: DataFrame, row: str, column: str, members: list[str], keep: Column) -> DataFrame:
+    """Counts of row label by column label among the rows kept; a missing cell is 0."""
+    counted = df.groupBy(F.col(row).alias("label")).agg(
+        F.count_if(keep).alias("kept"),
+        *[F.count_if(keep & (F.col(column) == m)).alias(m) for m in members],
     )
+    return counted.where("kept > 0").drop("kept")

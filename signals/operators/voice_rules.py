@@ -184,7 +184,10 @@ def classify_rules(comments: DataFrame, text: str = "comment_text") -> DataFrame
         "product": F.when(silent | is_spam, "none").otherwise(product),
         "is_spam": F.when(silent, False).when(is_spam, True).when(general, False).otherwise(spam),
     }
-    ruled = judged.select(*base, *[c.alias(f"rule_{f}") for f, c in out.items()])
+    labels = F.struct(*[c.alias(f"rule_{f}") for f, c in out.items()])
+    # One struct per row, unpacked by a generator: a later filter on a label then stays above
+    # it, where pushing it down would repeat the whole rule tree inside the filter.
+    ruled = judged.select(*base, F.inline(F.array(labels)))
     return ruled.withColumn("rules_complete", rules_complete())
 
 

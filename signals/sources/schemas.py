@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    # Plain "name type" pairs; StructType.fromDDL would need a running session.
+    pairs = (column.split() for column in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SCHEMAS = {
