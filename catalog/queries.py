@@ -26,16 +26,14 @@ QUERIES: dict[str, Query] = {}
 # Tables worth writing once when nearly everything is built in one go.
 BASE_TABLES = (
     "clean_campaigns", "clean_pos_sales", "clean_chat_orders", "clean_comments", "order_quality",
-    "comments_enriched", "sales_calendar", "marketing_channel_monthly", "sales_monthly",
+    "comments_enriched", "sales_calendar", "campaign_rollup", "marketing_channel_monthly", "sales_monthly",
     "monthly_performance", "social_monthly", "channel_evidence", "channel_decision",
 )
 
 
 def workspace(spark: SparkSession, base: str, **options) -> Workspace:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ws = Workspace(derive.all_sources(spark, base), **options)
-    ws.base = base
-    return ws
+    return Workspace(derive.DerivedSources(spark, base), **options)
 
 
 def register(name: str):
@@ -337,8 +335,7 @@ def _(ws):
 
 # --- evaluation --------------------------------------------------------------------------
 def _human(ws: Workspace, line_no: int = 0) -> DataFrame:
-    spark = ws.sources["social_comments"].sparkSession
-    return derive.human_labels(spark, ws.base, line_no)
+    return derive.human_labels(ws.sources.spark, ws.sources.base, line_no)
 
 
 def on_labels(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
@@ -677,7 +674,7 @@ def _(ws):
 
 @register("campaign_totals")
 def _(ws):
-    return conform.campaign_totals(conform.campaign_rollup(ws("campaign_attributes")))
+    return conform.campaign_totals(ws("campaign_rollup"))
 
 
 @register("computed_budget")

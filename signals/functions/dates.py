@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from signals.functions.text import literal_array
+
 # French month names in calendar order.
 MONTHS = [
     "janvier", "février", "mars", "avril", "mai", "juin",
@@ -18,7 +20,7 @@ TIMESTAMP_LAYOUTS = ["yyyy-M-d H:m", "d/M/yyyy H:m", "yyyy-M-d", "d/M/yyyy"]
 
 
 def _month_number(name: Column, names: list[str]) -> Column:
-    position = F.array_position(F.array(*[F.lit(n) for n in names]), name)
+    position = F.array_position(literal_array(names), name)
     return F.nullif(position, F.lit(0))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,3 +49,8 @@ def percent(num: Column, den: Column, digits: int = 1) -> Column:
 def variation(current: Column, previous: Column) -> Column:
     """(current - previous) / |previous|, NULL when unknown or previous is 0."""
     return ratio(current - previous, F.abs(previous))
+
+
+def one_row(df: DataFrame) -> Column:
+    """A one-row frame as a struct constant: a scalar subquery, run once, never a join."""
+    return df.select(F.struct(*df.columns)).scalar()

@@ -16,11 +16,13 @@ import itertools
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from re import _constants as op
+from re import _parser as parser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from re import _constants as op
-from re import _parser as parser
+
+from signals.functions.text import literal_array
 
 WORD = r"\p{L}\p{N}_"
 START, END = rf"(?<![{WORD}])", rf"(?![{WORD}])"
@@ -147,12 +149,8 @@ def text_stems(words: Column, stems: Iterable[str]) -> Column:
     return F.regexp_extract_all(joined, F.lit(f"(?:^| )({'|'.join(stems)})"), F.lit(1))
 
 
-def _literals(values: Iterable[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def has_word(words: Column, values: Iterable[str]) -> Column:
-    return F.arrays_overlap(words, _literals(values))
+    return F.arrays_overlap(words, literal_array(values))
 
 
 def has_any(markers: Markers, text: Column, words: Column, stems: Column | None = None) -> Column:
@@ -174,4 +172,4 @@ def has_any(markers: Markers, text: Column, words: Column, stems: Column | None
 
 def count_words(words: Column, values: Iterable[str]) -> Column:
     """How many of the values occur, each counted once."""
-    return F.size(F.array_intersect(words, _literals(values)))
+    return F.size(F.array_intersect(words, literal_array(values)))

@@ -9,6 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def literal_array(values: Iterable[str]) -> Column:
+    """Constant array of strings, parsed in one call instead of one call per value."""
+    quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return F.expr("array(" + ", ".join(f"'{v}'" for v in quoted) + ")")
+
+
 def trimmed_lower(c: Column) -> Column:
     return F.lower(F.trim(c))
 

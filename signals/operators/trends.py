@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signals.functions.money import variation
+from signals.functions.money import one_row, variation
 
 STABLE_CHANGE = 0.01
 STABLE_POINTS = 0.005
@@ -104,10 +104,15 @@ def category_breakdown(df: DataFrame, dimension: str, value: str) -> DataFrame:
     """
     totals = category_totals(df, dimension, value)
     best = F.struct(-F.col("value"), "category")
-    first = totals.agg(F.min_by("category", best)).scalar()
+    overall = one_row(
+        totals.agg(
+            F.min_by("category", best).alias("first"),
+            F.max_by("category", best).alias("last"),
+            F.sum("value").alias("total"),
+        )
+    )
+    first, last, total = overall["first"], overall["last"], overall["total"]
     second = totals.where(F.col("category") != first).agg(F.min_by("category", best)).scalar()
-    last = totals.agg(F.max_by("category", best)).scalar()
-    total = totals.agg(F.sum("value")).scalar()
     name = F.col("category")
     return totals.select(
         "category",
@@ -147,7 +152,8 @@ def share_trend(df: DataFrame, dimension: str, value: str) -> DataFrame:
     shares = rows.join(monthly, "month").select(
         "month", "category", F.try_divide("value", "month_total").alias("share")
     )
-    bounds = monthly.agg(F.min("month")).scalar(), monthly.agg(F.max("month")).scalar()
+    ends = one_row(monthly.agg(F.min("month").alias("a"), F.max("month").alias("b")))
+    bounds = ends["a"], ends["b"]
     per_category = shares.groupBy("category").agg(
         F.sum("share").alias("weight"),
         F.max(F.when(F.col("month") == bounds[0], F.col("share"))).alias("first_share"),
@@ -181,9 +187,8 @@ def month_category(df: DataFrame, dimension: str, value: str) -> DataFrame:
     """Category breakdown with the best and the worst month beside it."""
     extremes = best_and_worst_month(df, value)
     names = ["best_month", "best_value", "worst_month", "worst_value"]
-    return category_breakdown(df, dimension, value).select(
-        "*", *[extremes.select(n).scalar().alias(n) for n in names]
-    )
+    row = one_row(extremes)
+    return category_breakdown(df, dimension, value).select("*", *[row[n].alias(n) for n in names])
 
 
 def compare_members(df: DataFrame, dimension: str, value: str) -> DataFrame:
@@ -203,12 +208,16 @@ def compare_members(df: DataFrame, dimension: str, value: str) -> DataFrame:
         second["value"].alias("runner_up_value"),
         "members",
     )
-    leader, runner = named.select("leader").scalar(), named.select("runner_up").scalar()
+    names = one_row(named.select("leader", "runner_up"))
+    leader, runner = names["leader"], names["runner_up"]
     rows = _named(df, value).groupBy("month").agg(
         F.sum(F.when(F.col(dimension) == leader, F.col("value"))).alias("a"),
         F.sum(F.when(F.col(dimension) == runner, F.col("value"))).alias("b"),
     )
     both = rows.where("a is not null and b is not null")
+    ahead = one_row(
+        both.agg(F.count_if(F.col("a") > F.col("b")).alias("ahead"), F.count("*").alias("n"))
+    )
     gap = F.col("leader_value") - F.col("runner_up_value")
     return named.select(
         "*",
@@ -217,8 +226,8 @@ def compare_members(df: DataFrame, dimension: str, value: str) -> DataFrame:
             F.col("runner_up_value") > 0, F.try_divide("leader_value", "runner_up_value")
         ).alias("times"),
         ((F.col("members") == 2) & (gap == 0)).alias("is_tie"),
-        both.agg(F.count_if(F.col("a") > F.col("b"))).scalar().alias("months_ahead"),
-        both.agg(F.count("*")).scalar().alias("months_compared"),
+        ahead["ahead"].alias("months_ahead"),
+        ahead["n"].alias("months_compared"),
     )
 
 
@@ -272,7 +281,8 @@ def sentiment_summary(social: DataFrame) -> DataFrame:
     )
 
     def pick(frame: DataFrame) -> list[Column]:
-        return [frame.select(c).scalar().alias(c) for c in frame.columns]
+        row = one_row(frame)
+        return [row[c].alias(c) for c in frame.columns]
 
     change = F.col("last_positive_share") - F.col("first_positive_share")
     return (

@@ -16,13 +16,12 @@ from signals.operators import conform
 from signals.params import Params
 
 
-def marketing_channel_monthly(attributes: DataFrame, plan: DataFrame) -> DataFrame:
+def marketing_channel_monthly(rollup: DataFrame, plan: DataFrame) -> DataFrame:
     """Month x channel: spend, plan, coverage, unit costs and campaign counts.
 
-    Campaign counts are keyed by the month in the campaign *name*; a campaign whose name
+    ``rollup`` is ``conform.campaign_rollup`` and is read twice: stage it. Campaign counts are keyed by the month in the campaign *name*; a campaign whose name
     has no month therefore never joins here, which keeps month_parse_failure_count at 0.
     """
-    rollup = conform.campaign_rollup(attributes)
     spend = conform.campaign_totals(rollup)
     counts = [
         "bissap_campaigns",
@@ -329,8 +328,12 @@ def budget_allocation(marketing: DataFrame) -> DataFrame:
         F.sum("month_parse_failure_count").alias("month_parse_failure_count"),
         F.count_distinct("month").alias("active_months"),
     )
-    all_spend = marketing.agg(F.sum("campaign_spend_fcfa")).scalar()
-    all_planned = marketing.agg(F.sum("planned_budget_fcfa")).scalar()
+    overall = money.one_row(
+        marketing.agg(
+            F.sum("campaign_spend_fcfa").alias("spend"), F.sum("planned_budget_fcfa").alias("plan")
+        )
+    )
+    all_spend, all_planned = overall["spend"], overall["plan"]
     cost, planned = F.col("campaign_spend_fcfa"), F.col("planned_budget_fcfa")
     unnamed = F.col("campaigns_without_product")
     products, months = F.col("product_parse_failure_count"), F.col("month_parse_failure_count")
@@ -399,8 +402,12 @@ def channel_evidence(marketing: DataFrame) -> DataFrame:
         F.sum(F.when(rank <= 3, cost).otherwise(0.0)).alias("recent_3m_spend_fcfa"),
         F.sum(F.when(rank.between(4, 6), cost).otherwise(0.0)).alias("earlier_3m_spend_fcfa"),
     )
-    all_spend = marketing.agg(F.sum("campaign_spend_fcfa")).scalar()
-    period = marketing.agg(F.count_distinct("month")).scalar()
+    overall = money.one_row(
+        marketing.agg(
+            F.sum("campaign_spend_fcfa").alias("spend"), F.count_distinct("month").alias("months")
+        )
+    )
+    all_spend, period = overall["spend"], overall["months"]
     latest, previous = F.col("latest_month_spend_fcfa"), F.col("previous_month_spend_fcfa")
     recent, earlier = F.col("recent_3m_spend_fcfa"), F.col("earlier_3m_spend_fcfa")
     no_views, no_clicks = F.col("months_missing_impressions"), F.col("months_missing_clicks")
@@ -482,12 +489,13 @@ def channel_decision(
     monthly_ratio = money.ratio_if_positive(
         F.col("net_revenue_fcfa"), F.col("campaign_spend_fcfa")
     )
-    sales_totals = {
-        "total_net_revenue_fcfa": F.sum("net_revenue_fcfa"),
-        "total_net_units_sold": F.sum("net_units_sold"),
-        "total_missing_sales_days": F.sum("missing_sales_days"),
-        "avg_monthly_revenue_spend_ratio": F.avg(monthly_ratio),
-    }
+    sales_totals = performance.agg(
+        F.sum("net_revenue_fcfa").alias("total_net_revenue_fcfa"),
+        F.sum("net_units_sold").alias("total_net_units_sold"),
+        F.sum("missing_sales_days").alias("total_missing_sales_days"),
+        F.avg(monthly_ratio).alias("avg_monthly_revenue_spend_ratio"),
+    )
+    overall = money.one_row(sales_totals)
     cost = F.col("campaign_spend_fcfa")
     observed = allocation.select(
         "channel",
@@ -499,7 +507,7 @@ def channel_decision(
         *[c for c in evidence.columns if c != "earlier_3m_spend_fcfa"],
         "observed_spend_share",
         money.ratio_if_positive(F.col("planned_budget_fcfa"), all_planned).alias("planned_share"),
-        *[performance.agg(expr).scalar().alias(name) for name, expr in sales_totals.items()],
+        *[overall[name].alias(name) for name in sales_totals.columns],
         F.when(status == "good", "high")
         .when(status == "moderate", "medium")
         .otherwise("limited")
@@ -559,7 +567,8 @@ def budget_recommendation(decision: DataFrame, params: Params = Params()) -> Dat
         bonus = F.when(F.col("evidence_quality") == grade, factor).otherwise(bonus)
     score = F.coalesce("observed_spend_share", F.lit(0.0)) * bonus
     scored = decision.select("channel", score.alias("raw_score"))
-    all_scores, n = scored.agg(F.sum("raw_score")).scalar(), scored.agg(F.count("*")).scalar()
+    overall = money.one_row(scored.agg(F.sum("raw_score").alias("s"), F.count("*").alias("n")))
+    all_scores, n = overall["s"], overall["n"]
     share = F.when(all_scores > 0, F.col("raw_score") / all_scores).otherwise(
         F.lit(1.0) / n.cast("double")
     )
@@ -568,10 +577,13 @@ def budget_recommendation(decision: DataFrame, params: Params = Params()) -> Dat
         "channel", (floor + share * (total - floor * n.cast("double"))).alias("raw_budget")
     )
     rounded = raw.withColumn("budget", F.round(F.col("raw_budget") / step) * step)
-    residual = total - rounded.agg(F.sum("budget")).scalar()
-    absorber = rounded.agg(
-        F.min_by("channel", F.struct(-F.col("raw_budget"), "channel"))
-    ).scalar()
+    largest_first = F.struct(-F.col("raw_budget"), "channel")
+    rounding = money.one_row(
+        rounded.agg(
+            F.sum("budget").alias("total"), F.min_by("channel", largest_first).alias("absorber")
+        )
+    )
+    residual, absorber = total - rounding["total"], rounding["absorber"]
     computed = rounded.select(
         "channel",
         (

@@ -16,6 +16,10 @@ from signals.plans import marts
 from signals.sources.io import stage
 
 
+# Small tables with several readers.
+STAGED = ("campaign_rollup", "marketing_channel_monthly", "channel_decision")
+
+
 class Workspace:
     """``workspace("sales_monthly")`` is the sales mart over the given sources."""
 
@@ -24,7 +28,7 @@ class Workspace:
         sources: Mapping[str, DataFrame],
         params: Params = Params(),
         predictions: DataFrame | None = None,
-        staged: tuple[str, ...] = ("marketing_channel_monthly", "channel_decision"),
+        staged: tuple[str, ...] = STAGED,
     ) -> None:
         self.sources = sources
         self.params = params
@@ -76,10 +80,13 @@ class Workspace:
     def _order_quality(self):
         return items.order_quality(self("clean_chat_orders"), self.params)
 
+    def _campaign_rollup(self):
+        return conform.campaign_rollup(self("campaign_attributes"))
+
     def _media_reconciliation(self):
-        rollup = conform.campaign_rollup(self("campaign_attributes"))
         return conform.media_reconciliation(
-            conform.campaign_totals(rollup), conform.plan_totals(self("clean_media_plan"))
+            conform.campaign_totals(self("campaign_rollup")),
+            conform.plan_totals(self("clean_media_plan")),
         )
 
     def _social_predictions(self):
@@ -92,7 +99,7 @@ class Workspace:
 
     def _marketing_channel_monthly(self):
         return marts.marketing_channel_monthly(
-            self("campaign_attributes"), self("clean_media_plan")
+            self("campaign_rollup"), self("clean_media_plan")
         )
 
     def _sales_monthly(self):

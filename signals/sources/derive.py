@@ -7,10 +7,13 @@ copies, gaps) is spread by key. Money stays in whole units.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signals.functions.dates import MONTHS, MONTHS_PLAIN
+from signals.functions.text import literal_array
 
 SKUS = ["BIS-1L", "BIS-33", "BOU-1L", "GIN-1L", "GIN-33", "MAN-50"]
 SITES = ["Cocody", "yopougon", "Marcory", "Treichville", "port-bouet", "Abobo"]
@@ -99,11 +102,17 @@ PHRASES = [
 
 
 def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.element_at(literal_array(values), (index + 1).cast("int"))
 
 
-def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{name}.parquet")
+def _table(spark: SparkSession, base: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A base table. One of a few files is spread by its key, or few tasks would do all the
+    narrow work behind the scan; a table of many files is left as it is read."""
+    df = spark.read.parquet(f"{base}/{name}.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    if spread_by and len(df.inputFiles()) < slots:
+        return df.repartition(slots, spread_by)
+    return df
 
 
 def pos_sales(spark: SparkSession, base: str) -> DataFrame:
@@ -120,7 +129,7 @@ def pos_sales(spark: SparkSession, base: str) -> DataFrame:
     )
     unknown = (line == 7) & (F.col("l_quantity") == 50)
     return (
-        _table(spark, base, "lineitem")
+        _table(spark, base, "lineitem", "l_orderkey")
         .join(_table(spark, base, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(_table(spark, base, "supplier"), supp == F.col("s_suppkey"))
         .withColumn("sale_date", F.when(hole, F.date_add(shipped, 14)).otherwise(shipped))
@@ -179,7 +188,7 @@ def chat_orders(spark: SparkSession, base: str) -> DataFrame:
         status = F.when(F.col("o_orderstatus") == code, _pick(labels, k % 4)).otherwise(status)
     zone = F.col("c_mktsegment")
     return (
-        _table(spark, base, "orders")
+        _table(spark, base, "orders", "o_orderkey")
         .join(_table(spark, base, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.concat(
@@ -253,7 +262,7 @@ def campaign_export(spark: SparkSession, base: str) -> DataFrame:
         .otherwise("")
     )
     measured = p < 4
-    rows = _table(spark, base, "orders").select(
+    rows = _table(spark, base, "orders", "o_orderkey").select(
         k,
         platform.alias("platform"),
         F.concat(_pick(CAMPAIGNS, k % 5), F.lit(" - "), month_word).alias("campaign_name"),
@@ -314,7 +323,7 @@ def _mixed_text(n: Column, line: Column) -> Column:
 def comments(spark: SparkSession, base: str) -> DataFrame:
     """Every line of every document and every user turn, whole, as a comment."""
     doc, pos = F.col("doc_id"), F.col("pos")
-    lines = _table(spark, base, "documents").select(
+    lines = _table(spark, base, "documents", "doc_id").select(
         "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "line")
     )
     days, hours = ((doc * 3 + pos) % 181).cast("int"), (pos % 24).cast("int")
@@ -391,11 +400,29 @@ def human_labels(spark: SparkSession, base: str, line_no: int = 0) -> DataFrame:
     )
 
 
-def all_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {
-        "campaign_spend_export": campaign_export(spark, base),
-        "media_plan": media_plan(spark, base),
-        "pos_sales_daily": pos_sales(spark, base),
-        "whatsapp_orders": chat_orders(spark, base),
-        "social_comments": comments(spark, base),
-    }
+BUILDERS = {
+    "campaign_spend_export": campaign_export,
+    "media_plan": media_plan,
+    "pos_sales_daily": pos_sales,
+    "whatsapp_orders": chat_orders,
+    "social_comments": comments,
+}
+
+
+class DerivedSources(Mapping):
+    """The five sources by name, each derived when first asked for."""
+
+    def __init__(self, spark: SparkSession, base: str) -> None:
+        self.spark, self.base = spark, base
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = BUILDERS[name](self.spark, self.base)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
