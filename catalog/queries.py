@@ -28,6 +28,8 @@ BASE_TABLES = (
     "clean_campaigns", "clean_pos_sales", "clean_chat_orders", "clean_comments", "order_quality",
     "comments_enriched", "sales_calendar", "campaign_rollup", "marketing_channel_monthly", "sales_monthly",
     "monthly_performance", "social_monthly", "channel_evidence", "channel_decision",
+    "product_dimension", "product_mix_monthly", "chat_orders_monthly", "chat_customers",
+    "budget_allocation", "budget_recommendation",
 )
 
 

@@ -336,7 +336,7 @@ _PLACED = f"""SELECT category, value, {div("value", "sum(value) OVER ()")} AS sh
 _MONTHS = "SELECT month, sum(campaign_spend_fcfa) AS v FROM t_marketing_channel_monthly GROUP BY 1"
 _SHARES = f"""SELECT month, product_sku AS category, {div("sum(net_revenue_fcfa)",
   "sum(sum(net_revenue_fcfa)) OVER (PARTITION BY month)")} AS share
-  FROM t_product_mix_monthly GROUP BY ALL"""
+  FROM t_product_mix_monthly GROUP BY month, product_sku"""
 _CHANGE = div("last_value - first_value", "abs(first_value)")
 _RECENT = div("last_value - previous_value", "abs(previous_value)")
 
@@ -378,12 +378,14 @@ SQL |= {
     "category_breakdown": _PLACED,
     "share_trend": f"""SELECT *, {direction("share_change", 0.01)} AS trend FROM (
       SELECT *, last_share - first_share AS share_change FROM (
-      SELECT category, (SELECT min(month) FROM t_product_mix_monthly) AS first_month,
-        max(share) FILTER (WHERE month = (SELECT min(month) FROM t_product_mix_monthly))
-          AS first_share,
-        (SELECT max(month) FROM t_product_mix_monthly) AS last_month,
-        max(share) FILTER (WHERE month = (SELECT max(month) FROM t_product_mix_monthly))
-          AS last_share FROM ({_SHARES}) GROUP BY category ORDER BY sum(share) DESC LIMIT 1))""",
+      SELECT category, (SELECT min(month) FROM t_product_mix_monthly) AS first_month, first_share,
+        (SELECT max(month) FROM t_product_mix_monthly) AS last_month, last_share FROM (
+        SELECT category, sum(share) AS weight,
+          max(share) FILTER (WHERE month = (SELECT min(month) FROM t_product_mix_monthly))
+            AS first_share,
+          max(share) FILTER (WHERE month = (SELECT max(month) FROM t_product_mix_monthly))
+            AS last_share FROM ({_SHARES}) GROUP BY category)
+      ORDER BY weight DESC, category LIMIT 1))""",
     "month_category": f"""SELECT *, {_one("month", _MONTHS, "v DESC, month")} AS best_month,
       (SELECT max(v) FROM ({_MONTHS})) AS best_value,
       {_one("month", _MONTHS, "v, month")} AS worst_month,

@@ -42,6 +42,10 @@ class Workspace:
             self._built[name] = stage(table) if name in self.staged else table
         return self._built[name]
 
+    def replace(self, name: str, table: DataFrame) -> None:
+        """Use a written copy of a table from here on."""
+        self._built[name] = table
+
     @classmethod
     def names(cls) -> list[str]:
         skip = {"_built"}
