@@ -17,6 +17,7 @@ from signals.plans import brief, marts, metrics
 from signals.plans.metrics import Intent, metric_query
 from signals.plans.workspace import Workspace
 from signals.params import Params
+from signals.session import configure
 from signals.sources import derive
 from signals.sources.io import load_summary, shared_dir, union_all
 
@@ -34,8 +35,7 @@ BASE_TABLES = (
 
 
 def workspace(spark: SparkSession, base: str, **options) -> Workspace:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return Workspace(derive.DerivedSources(spark, base), **options)
+    return Workspace(derive.DerivedSources(configure(spark), base), **options)
 
 
 def register(name: str):

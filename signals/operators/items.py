@@ -74,8 +74,8 @@ def with_items(orders: DataFrame) -> DataFrame:
 
 
 def order_items(orders: DataFrame) -> DataFrame:
-    """One row per item line."""
-    return with_items(orders).select(
+    """One row per item line, parsed after the explode where the expressions compile."""
+    lines = orders.where(F.col("items_text").isNotNull()).select(
         "order_ref",
         "received_at",
         "customer_phone",
@@ -83,8 +83,10 @@ def order_items(orders: DataFrame) -> DataFrame:
         "amount_fcfa",
         "status",
         "delivery_zone",
-        F.inline("items"),
+        F.explode(split_order_items(F.col("items_text"))).alias("line"),
     )
+    parsed = lines.withColumn("item", parse_order_item(F.col("line"))).drop("line")
+    return parsed.select(*[c for c in parsed.columns if c != "item"], "item.*")
 
 
 def _units(field: str | None = None, value: str | None = None) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from signals.operators import quality, scoring
 from signals.params import Params
 from signals.plans.workspace import Workspace
+from signals.session import configure
 from signals.sources import io
 from signals.sources.schemas import SOURCES
 
@@ -77,6 +78,7 @@ def run_month(
     scorer: scoring.Scorer | None = None,
 ) -> DataFrame:
     """Load, score incrementally, build everything; returns the quality report."""
+    configure(spark)
     io.load_all(sources, folder)
     tables = TableFolder(spark, folder)
     raw = {name: tables(f"raw_{name}") for name in SOURCES}
