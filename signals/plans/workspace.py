@@ -17,7 +17,9 @@ from signals.sources.io import stage
 
 
 # Small tables with several readers.
-STAGED = ("campaign_rollup", "marketing_channel_monthly", "channel_decision")
+STAGED = (
+    "campaign_rollup", "marketing_channel_monthly", "monthly_performance", "channel_decision",
+)
 
 
 class Workspace:
