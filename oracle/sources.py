@@ -145,7 +145,7 @@ SELECT 'PLAN-' || strftime(m, '%Y%m') || '-' || p::VARCHAR AS plan_id,
   v AS planned_budget_fcfa,
   CASE WHEN (n + p) % 5 <> 0 THEN v - 1000 * p END AS invoiced_fcfa,
   CASE WHEN p = 2 THEN '' ELSE 'notoriété' END AS objective,
-  ' Awa ' AS owner,
+  ' Nadia ' AS owner,
   CASE WHEN p = 4 THEN '   ' END AS notes
 FROM (
   SELECT m, p, month(m) AS n, sum(v)::DOUBLE AS v FROM (

@@ -306,7 +306,7 @@ def media_plan(spark: SparkSession, base: str) -> DataFrame:
         F.col("v").alias("planned_budget_fcfa"),
         F.when((n + p) % 5 != 0, F.col("v") - 1000 * p).alias("invoiced_fcfa"),
         F.when(p == 2, "").otherwise("notoriété").alias("objective"),
-        F.lit(" Awa ").alias("owner"),
+        F.lit(" Nadia ").alias("owner"),
         F.when(p == 4, "   ").alias("notes"),
     )
 
