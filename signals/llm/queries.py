@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signals.llm import packing, token_output
+from signals.llm import html_region, language, packing, quality, secrets, token_output, warc
 from signals.llm.common import table
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op3(table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.op5(spark, table(spark, sf_dir, "documents"))
 
@@ -18,8 +26,25 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op6(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_region.op7(table(spark, sf_dir, "pages"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op8(spark, table(spark, sf_dir, "pages"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op3_secrets": op3_secrets,
     "op5_token_output": op5_token_output,
     "op6_packing": op6_packing,
+    "op7_html_text": op7_html_text,
+    "op8_warc": op8_warc,
+    "op9_language": op9_language,
 }
 ORACLE: dict[str, str] = {}

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from signals.llm import packing, token_output
 from signals.llm.common import fresh_path
@@ -18,11 +21,15 @@ TEXTS = [
 ]
 
 
-def whole(text):
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(vocabulary_path())
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+    return Tokenizer.from_file(vocabulary_path())
+
+
+def whole(text):
+    return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def crc(ids):
@@ -35,8 +42,18 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, start long").repartition(3)
 
 
-def test_words_encode_like_whole_texts():
-    encoder = WordEncoder(vocabulary_path(), 1, cache_words=3)
+@pytest.fixture(scope="module")
+def encoder():
+    return WordEncoder(vocabulary_path(), 1, limit=6)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(codec="utf-8") | st.sampled_from(" \n\t'<|>sEndoftxÀéß7²_ ")))
+def test_any_text_encodes_like_the_whole(encoder, text):
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole(text)
+
+
+def test_words_encode_like_whole_texts(encoder):
     for text in TEXTS:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole(text)
 
