@@ -6,10 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signals.llm import html_region, language, packing, quality, secrets, token_output, warc
+from signals.llm import (
+    decontaminate,
+    fingerprint,
+    html_region,
+    language,
+    packing,
+    quality,
+    secrets,
+    token_output,
+    warc,
+)
 from signals.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op1(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -18,6 +32,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op3(table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.op4(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.op5(spark, table(spark, sf_dir, "documents"))
 
@@ -39,12 +57,14 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
+    "op4_fingerprints": op4_fingerprints,
     "op5_token_output": op5_token_output,
     "op6_packing": op6_packing,
     "op7_html_text": op7_html_text,
     "op8_warc": op8_warc,
     "op9_language": op9_language,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE_SQL}

@@ -194,26 +194,13 @@ class ArchivePart(InputPartition):
 
 
 class ArchiveReader(DataSourceReader):
-    def __init__(self, options: dict[str, str], names: list[str]):
+    def __init__(self, options: dict[str, str]):
         self.path = options["path"]
-        self.names = names
         types = options.get("record_types", "")
         self.types = {t for t in types.split(",") if t} or None
         self.ids: set[int] | None = None
         self.payload = options.get("payload", "true").lower() == "true"
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Equality and membership on record_type and page_id; the rest goes back to Spark."""
-        for f in filters:
-            values = {f.value} if isinstance(f, EqualTo) else set(f.value) if isinstance(f, In) else None
-            column = f.attribute if values is not None else None
-            if column == ("record_type",):
-                self.types = values if self.types is None else self.types & values
-            elif column == ("page_id",):
-                self.ids = values if self.ids is None else self.ids & values
-            else:
-                yield f
-
     def partitions(self) -> list[ArchivePart]:
         return [ArchivePart(p) for p in _files(self.path)]
 
@@ -238,12 +225,29 @@ class ArchiveReader(DataSourceReader):
                 )
 
 
+class PushingReader(ArchiveReader):
+    """With filter push-down; Spark refuses such a reader where the session does not allow it."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Equality and membership on record_type and page_id; the rest goes back to Spark."""
+        for f in filters:
+            values = {f.value} if isinstance(f, EqualTo) else set(f.value) if isinstance(f, In) else None
+            column = f.attribute if values is not None else None
+            if column == ("record_type",):
+                self.types = values if self.types is None else self.types & values
+            elif column == ("page_id",):
+                self.ids = values if self.ids is None else self.ids & values
+            else:
+                yield f
+
+
 def _number(text: str | None) -> int | None:
     return int(text) if text else None
 
 
 class WarcSource(DataSource):
-    """format("warc"): options path, record_types (comma-joined), payload (true or false)."""
+    """format("warc"): options path, record_types (comma-joined), payload and pushdown (true or
+    false)."""
 
     @classmethod
     def name(cls) -> str:
@@ -253,7 +257,8 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> ArchiveReader:
-        return ArchiveReader(dict(self.options), schema.names)
+        pushing = self.options.get("pushdown", "false").lower() == "true"
+        return (PushingReader if pushing else ArchiveReader)(dict(self.options))
 
 
 def read_warc(
@@ -262,7 +267,8 @@ def read_warc(
     """The archives' records. Filters on record_type and page_id are pushed into the source where
     the session sets spark.sql.python.filterPushdown.enabled; `record_types` is pushed always."""
     spark.dataSource.register(WarcSource)
-    reader = spark.read.format("warc").option("payload", str(payload).lower())
+    allowed = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    reader = spark.read.format("warc").options(payload=str(payload).lower(), pushdown=allowed)
     if record_types is not None:
         reader = reader.option("record_types", ",".join(record_types))
     return reader.load(path)
