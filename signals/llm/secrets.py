@@ -74,7 +74,7 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     for m in OPAQUE.finditer(text):
         if _mixed(m[0]) and not any(a < m.end() and m.start() < b for a, b in taken):
             out.append((6, m.start(), m.end(), m[0]))
-    return sorted(out)
+    return sorted(out, key=lambda s: (s[1], s[0], s[2]))
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
