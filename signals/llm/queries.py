@@ -11,6 +11,7 @@ from signals.llm import (
     fingerprint,
     html_region,
     language,
+    ngram_join,
     packing,
     quality,
     secrets,
@@ -56,6 +57,10 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.op10(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -66,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_text": op7_html_text,
     "op8_warc": op8_warc,
     "op9_language": op9_language,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 ORACLE: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE_SQL}
