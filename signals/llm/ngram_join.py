@@ -422,10 +422,27 @@ def op10(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, rule: Rule) -> DataFrame:
-    """`docs` with one document of each component, the one with the smallest id; all without words.
-
-    Rows that repeat an id and its text are the same document and stay or go together."""
-    made = classes(docs, rule)
-    gone = made.where("NOT (doc_id <=> component_id)").select(F.col("row_key").alias("gone"))
+    """`docs` with one row of each component, that with the smallest id; all without words.
+
+    Of rows with that id, repeated or of other texts, the one with the least key stays; of rows
+    that repeat id and text, any one, though columns beside them may differ."""
+    lines = classes(docs, rule).where("n_shingles > 0")
+    chosen = (
+        lines.where("doc_id <=> component_id")
+        .groupBy("component_id")
+        .agg(F.min("row_key").alias("row_key"))
+    )
+    counted = lines.groupBy("row_key").agg(F.count("*").alias("copies"))
+    marked = counted.join(chosen.select("row_key", F.lit(True).alias("stays")), "row_key", "left")
+    # Only rows that go, and the few that stay but are repeated, need a mark.
+    marks = staged(
+        marked.where("stays IS NULL OR copies > 1").select(
+            F.col("row_key").alias("mark"), F.coalesce("stays", F.lit(False)).alias("stays")
+        ),
+        "near-duplicate-marks",
+    )
     mine = F.xxhash64(F.coalesce(docs.doc_id.cast("string"), F.lit("null")), F.coalesce(docs.text, F.lit("")))
-    return docs.join(gone, mine == gone["gone"], "left_anti")
+    kept = docs.join(marks, mine == marks["mark"], "left_anti")
+    twice = docs.join(marks.where("stays"), mine == marks["mark"])
+    once = twice.groupBy("mark").agg(F.first(F.struct(*(docs[c] for c in docs.columns))).alias("row"))
+    return kept.unionByName(once.select("row.*"))

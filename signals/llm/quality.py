@@ -184,3 +184,9 @@ def op2(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **settings) -> DataFrame:
+    """`docs` without those scored below `threshold`; without a fitted machine all stay."""
+    machine = train(docs, labels, **settings)
+    return score(docs, machine).where(F.col("score") >= threshold).select("row.*")
