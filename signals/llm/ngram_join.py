@@ -130,6 +130,7 @@ def bit_sketch(tokens: np.ndarray) -> np.ndarray:
 
 def _emit(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # a task reports the parts of a set once, whatever its copies
         for batch in batches:
             keys, nodes, docs, sizes = [], [], [], []
 
@@ -155,9 +156,12 @@ def _emit(rule: Rule):
                 tokens = shingle_set(text.as_py(), rule.k)
                 # A row's first key is its own and carries its id and size; parts follow.
                 mine = np.array([row_key.as_py()], np.int64).view(np.uint64)
-                own = np.concatenate((mine, part_keys(tokens, rule))) if len(tokens) else mine
+                node = node_of(tokens) if len(tokens) else 0
+                new = len(tokens) and node not in seen
+                own = np.concatenate((mine, part_keys(tokens, rule))) if new else mine
+                seen.add(node)
                 keys.append(own)
-                nodes.append(node_of(tokens) if len(tokens) else 0)
+                nodes.append(node)
                 docs.append(doc_id.as_py())
                 sizes.append(len(tokens))
                 held += len(own)
@@ -182,11 +186,13 @@ def groups(source: DataFrame, rule: Rule) -> DataFrame:
     """A written table of every row's own line (n set) and of the nodes in groups of two or more."""
     rows = source.mapInArrow(_emit(rule), ROWS)
     alike = Window.partitionBy("key")
+    before = F.lag("node").over(alike.orderBy("node"))
     return staged(
-        rows.withColumn("low", F.min("node").over(alike))
+        rows.withColumn("again", before.eqNullSafe(F.col("node")))
+        .withColumn("low", F.min("node").over(alike))
         .withColumn("high", F.max("node").over(alike))
-        .where("n IS NOT NULL OR low <> high")
-        .drop("low", "high"),
+        .where("n IS NOT NULL OR (low <> high AND NOT again)")
+        .drop("again", "low", "high"),
         "sketch-groups",
     )
 
