@@ -336,8 +336,8 @@ def _(ws):
 
 
 # --- evaluation --------------------------------------------------------------------------
-def _human(ws: Workspace, line_no: int = 0) -> DataFrame:
-    return derive.human_labels(ws.sources.spark, ws.sources.base, line_no)
+def _human(ws: Workspace, batch: int = 0) -> DataFrame:
+    return derive.human_labels(ws.sources.spark, ws.sources.base, batch)
 
 
 def on_labels(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
@@ -429,9 +429,8 @@ _crosstab("theme_sentiment", "theme_model")
 _crosstab("product_sentiment", "product_model")
 
 # --- metrics -----------------------------------------------------------------------------
-DEFAULT_DIMENSIONS = {"units_sold": ("commune", "channel", "product_sku")}
 for _metric in metrics.METRICS.values():
-    _intent = Intent(_metric.name, DEFAULT_DIMENSIONS.get(_metric.name, _metric.dimensions))
+    _intent = Intent(_metric.name, _metric.dimensions)
     register(f"metric_{_metric.name}")(lambda ws, i=_intent: metric_query(ws, i))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import oracle.sources  # noqa: F401  (defines the table expressions)
 import oracle.tables  # noqa: F401
-from catalog.queries import CHECKS, DEFAULT_DIMENSIONS, PAIRS
+from catalog.queries import CHECKS, PAIRS
 from oracle import voice
 from oracle.build import count_if, div, div_pos, half_up, isum, items, pct, query, text
 from signals.functions import lexicon as lx
@@ -269,7 +269,7 @@ def metric(name: str, dimensions=(), where: str = "true") -> str:
 _GROWTH = """SELECT month, net_revenue_fcfa / nullif(lag(net_revenue_fcfa) OVER (ORDER BY month), 0)
   - 1 AS revenue_growth FROM t_sales_monthly"""
 for _name, _m in METRICS.items():
-    SQL[f"metric_{_name}"] = metric(_name, DEFAULT_DIMENSIONS.get(_name, _m.dimensions))
+    SQL[f"metric_{_name}"] = metric(_name, _m.dimensions)
 SQL["metric_revenue_growth"] = _GROWTH
 _SENTIMENTS = ["sentiment_split", "positive", "negative", "neutral"]
 SQL |= {

@@ -159,31 +159,37 @@ FROM (
 )
 
 
-def mixed_text(n: str, line: str) -> str:
-    phrase = pick(PHRASES, f"({n}) % {len(PHRASES)}")
-    return (
-        f"CASE WHEN ({n}) % 5 <= 2 THEN {phrase} WHEN ({n}) % 5 = 3 THEN {phrase} || ' ' || {line} "
-        f"ELSE {line} END"
-    )
+def said(rows: str) -> str:
+    """`rows` (doc_id, pos, line, ...) with mark and said: the line, phrases before or beside it."""
+    n = "(doc_id + pos * 7)"
+    phrase = pick(PHRASES, f"{n} % {len(PHRASES)}")
+    return f"""
+(SELECT *, '' AS mark, CASE WHEN {n} % 5 = 3 THEN {phrase} || ' ' || line ELSE line END AS said
+ FROM {rows}
+ UNION ALL SELECT *, 'p', {phrase} FROM {rows} WHERE {n} % 5 <= 2)"""
 
 
+define(
+    "r_split",
+    """
+SELECT doc_id, lang, source, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos
+FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS lines FROM documents)
+""",
+)
 define(
     "r_lines",
     f"""
-SELECT doc_id, pos, 'C' || doc_id::VARCHAR || '-' || pos::VARCHAR AS comment_id,
+SELECT doc_id, pos, 'C' || doc_id::VARCHAR || '-' || pos::VARCHAR || mark AS comment_id,
   {pick(d.SOCIAL, "doc_id % 4")} AS platform,
   'P' || source || '-' || (doc_id % 20)::VARCHAR AS post_id,
   TIMESTAMP '2024-01-01 00:00:00' + to_days(((doc_id * 3 + pos) % 181)::INTEGER)
     + to_hours((pos % 24)::INTEGER) AS published_at,
   '@' || lang || (doc_id % 1000)::VARCHAR AS author_handle,
-  {mixed_text("doc_id + pos * 7", "line")} AS comment_text,
+  said AS comment_text,
   ((doc_id * 7 + pos) % 60)::INTEGER AS like_count,
   CASE WHEN pos > 0 AND pos % 5 = 0
     THEN 'C' || doc_id::VARCHAR || '-' || (pos - 1)::VARCHAR END AS reply_to_id
-FROM (
-  SELECT doc_id, lang, source, unnest(lines) AS line,
-    unnest(range(0, len(lines))) AS pos
-  FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS lines FROM documents))
+FROM {said("r_split")}
 """,
 )
 define(
@@ -197,32 +203,32 @@ UNION ALL
 SELECT * EXCLUDE (doc_id, pos) FROM r_lines WHERE (doc_id + pos) % 25 = 0
 UNION ALL
 SELECT 'V' || conv_id::VARCHAR || '-' || turn::VARCHAR, 'Facebook', 'V' || (conv_id % 20)::VARCHAR,
-  TIMESTAMP '2024-01-01 00:00:00' + to_days((conv_id % 181)::INTEGER), '@visitor', text,
+  TIMESTAMP '2024-01-01 00:00:00' + to_days((conv_id % 181)::INTEGER),
+  CASE WHEN role = 'user' THEN '@visitor' ELSE '@' || role END, text,
   0::INTEGER, NULL
-FROM conversations WHERE role = 'user'
+FROM conversations
 """,
 )
 
 
-def human(line_no: int) -> str:
-    n = f"(doc_id + {7 * line_no})"
+def human(batch: int) -> str:
+    n = "(doc_id + 7 * pos)"
+    plain = f"mark = '' AND {n} % 5 <> 3"
     themes, products = [t for _, t, _ in d.PHRASES], [p for _, _, p in d.PHRASES]
     return f"""
-SELECT 'C' || doc_id::VARCHAR || '-{line_no}' AS comment_id,
-  trim({mixed_text(n, "line")}) AS comment_text,
+SELECT 'C' || doc_id::VARCHAR || '-' || pos::VARCHAR || mark AS comment_id,
+  trim(said) AS comment_text,
   CASE WHEN lang IN ('fr', 'en') THEN upper(lang) ELSE 'other' END AS language_human,
   CASE WHEN doc_id % 3 = 0 THEN ' Neutral' WHEN quality = 1 THEN 'positive' ELSE 'negative' END
     AS sentiment_human,
-  CASE WHEN {n} % 5 > 3 THEN 'other' ELSE {pick(themes, f"{n} % {len(themes)}")} END
+  CASE WHEN {plain} THEN 'other' ELSE {pick(themes, f"{n} % {len(themes)}")} END
     AS theme_human,
-  CASE WHEN {n} % 5 > 3 THEN 'none' ELSE {pick(products, f"{n} % {len(products)}")} END
+  CASE WHEN {plain} THEN 'none' ELSE {pick(products, f"{n} % {len(products)}")} END
     AS product_human,
   CASE WHEN toxic = 1 THEN {pick(["true", "1", "Yes"], "doc_id % 3")}
     ELSE {pick(["false", "0", "no", "?"], "doc_id % 4")} END AS is_spam_human
-FROM (
-  SELECT doc_id, quality, toxic, lang, string_split(text, chr(10))[{line_no + 1}] AS line
-  FROM labels JOIN documents USING (doc_id))
-WHERE line IS NOT NULL
+FROM {said("r_split")} JOIN labels USING (doc_id)
+WHERE pos % 2 = {batch}
 """
 
 

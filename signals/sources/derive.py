@@ -105,14 +105,8 @@ def _pick(values: list[str], index: Column) -> Column:
     return F.element_at(literal_array(values), (index + 1).cast("int"))
 
 
-def _table(spark: SparkSession, base: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A base table. One of a few files is spread by its key, or few tasks would do all the
-    narrow work behind the scan; a table of many files is left as it is read."""
-    df = spark.read.parquet(f"{base}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if spread_by and len(df.inputFiles()) < slots:
-        return df.repartition(slots, spread_by)
-    return df
+def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{base}/{name}.parquet")
 
 
 def pos_sales(spark: SparkSession, base: str) -> DataFrame:
@@ -129,7 +123,7 @@ def pos_sales(spark: SparkSession, base: str) -> DataFrame:
     )
     unknown = (line == 7) & (F.col("l_quantity") == 50)
     return (
-        _table(spark, base, "lineitem", "l_orderkey")
+        _table(spark, base, "lineitem")
         .join(_table(spark, base, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(_table(spark, base, "supplier"), supp == F.col("s_suppkey"))
         .withColumn("sale_date", F.when(hole, F.date_add(shipped, 14)).otherwise(shipped))
@@ -188,7 +182,7 @@ def chat_orders(spark: SparkSession, base: str) -> DataFrame:
         status = F.when(F.col("o_orderstatus") == code, _pick(labels, k % 4)).otherwise(status)
     zone = F.col("c_mktsegment")
     return (
-        _table(spark, base, "orders", "o_orderkey")
+        _table(spark, base, "orders")
         .join(_table(spark, base, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.concat(
@@ -262,7 +256,7 @@ def campaign_export(spark: SparkSession, base: str) -> DataFrame:
         .otherwise("")
     )
     measured = p < 4
-    rows = _table(spark, base, "orders", "o_orderkey").select(
+    rows = _table(spark, base, "orders").select(
         k,
         platform.alias("platform"),
         F.concat(_pick(CAMPAIGNS, k % 5), F.lit(" - "), month_word).alias("campaign_name"),
@@ -311,34 +305,41 @@ def media_plan(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def _mixed_text(n: Column, line: Column) -> Column:
+def _said(n: Column, line: Column) -> Column:
+    """What is said on a line: always the whole line, for some lines after a phrase, for others
+    with the phrase in a row of its own (mark 'p')."""
     phrase = _pick([text for text, _, _ in PHRASES], n % len(PHRASES))
+
+    def row(mark: str, text: Column) -> Column:
+        return F.struct(F.lit(mark).alias("mark"), text.alias("text"))
+
     return (
-        F.when(n % 5 <= 2, phrase)
-        .when(n % 5 == 3, F.concat_ws(" ", phrase, line))
-        .otherwise(line)
+        F.when(n % 5 <= 2, F.array(row("", line), row("p", phrase)))
+        .when(n % 5 == 3, F.array(row("", F.concat_ws(" ", phrase, line))))
+        .otherwise(F.array(row("", line)))
     )
 
 
 def comments(spark: SparkSession, base: str) -> DataFrame:
-    """Every line of every document and every user turn, whole, as a comment."""
+    """Every line of every document and every turn, whole, as a comment; phrases beside them."""
     doc, pos = F.col("doc_id"), F.col("pos")
-    lines = _table(spark, base, "documents", "doc_id").select(
+    lines = _table(spark, base, "documents").select(
         "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "line")
     )
+    lines = lines.withColumn("said", F.explode(_said(doc + pos * 7, F.col("line"))))
     days, hours = ((doc * 3 + pos) % 181).cast("int"), (pos % 24).cast("int")
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
     rows = lines.select(
         doc,
         pos,
-        F.concat(F.lit("C"), doc.cast("string"), F.lit("-"), pos.cast("string")).alias(
-            "comment_id"
-        ),
+        F.concat(
+            F.lit("C"), doc.cast("string"), F.lit("-"), pos.cast("string"), "said.mark"
+        ).alias("comment_id"),
         _pick(SOCIAL, doc % 4).alias("platform"),
         F.concat(F.lit("P"), "source", F.lit("-"), (doc % 20).cast("string")).alias("post_id"),
         (start + F.make_dt_interval(days, hours)).alias("published_at"),
         F.concat(F.lit("@"), "lang", (doc % 1000).cast("string")).alias("author_handle"),
-        _mixed_text(doc + pos * 7, F.col("line")).alias("comment_text"),
+        F.col("said.text").alias("comment_text"),
         ((doc * 7 + pos) % 60).cast("int").alias("like_count"),
         F.when(
             (pos > 0) & (pos % 5 == 0),
@@ -352,7 +353,6 @@ def comments(spark: SparkSession, base: str) -> DataFrame:
     conv, turn = F.col("conv_id"), F.col("turn")
     turns = (
         _table(spark, base, "conversations")
-        .where("role = 'user'")
         .select(
             F.concat(F.lit("V"), conv.cast("string"), F.lit("-"), turn.cast("string")).alias(
                 "comment_id"
@@ -360,7 +360,9 @@ def comments(spark: SparkSession, base: str) -> DataFrame:
             F.lit("Facebook").alias("platform"),
             F.concat(F.lit("V"), (conv % 20).cast("string")).alias("post_id"),
             (start + F.make_dt_interval((conv % 181).cast("int"))).alias("published_at"),
-            F.lit("@visitor").alias("author_handle"),
+            F.when(F.col("role") == "user", "@visitor")
+            .otherwise(F.concat(F.lit("@"), "role"))
+            .alias("author_handle"),
             F.col("text").alias("comment_text"),
             F.lit(0).alias("like_count"),
             F.lit(None).cast("string").alias("reply_to_id"),
@@ -369,21 +371,29 @@ def comments(spark: SparkSession, base: str) -> DataFrame:
     return rows.union(liked_again).union(repeated).drop("doc_id", "pos").union(turns)
 
 
-def human_labels(spark: SparkSession, base: str, line_no: int = 0) -> DataFrame:
-    """One annotated line of each labelled document, as people would write the labels."""
-    doc = F.col("doc_id")
-    n = doc + 7 * line_no
-    plain = n % 5 > 3
+def human_labels(spark: SparkSession, base: str, batch: int = 0) -> DataFrame:
+    """Annotated comments on the lines of labelled documents, as people would write the labels.
+
+    Batch 0 has the lines at even positions, batch 1 the others."""
+    doc, pos = F.col("doc_id"), F.col("pos")
+    n = doc + 7 * pos
+    plain = (F.col("said.mark") == "") & (n % 5 != 3)
     theme = _pick([t for _, t, _ in PHRASES], n % len(PHRASES))
     product = _pick([p for _, _, p in PHRASES], n % len(PHRASES))
-    line = F.get(F.split("text", "\n"), line_no)
     return (
         _table(spark, base, "labels")
         .join(_table(spark, base, "documents"), "doc_id")
-        .where(line.isNotNull())
         .select(
-            F.concat(F.lit("C"), doc.cast("string"), F.lit(f"-{line_no}")).alias("comment_id"),
-            F.trim(_mixed_text(n, line)).alias("comment_text"),
+            "doc_id", "quality", "toxic", "lang",
+            F.posexplode(F.split("text", "\n")).alias("pos", "line"),
+        )
+        .where(pos % 2 == batch)
+        .withColumn("said", F.explode(_said(n, F.col("line"))))
+        .select(
+            F.concat(
+                F.lit("C"), doc.cast("string"), F.lit("-"), pos.cast("string"), "said.mark"
+            ).alias("comment_id"),
+            F.trim("said.text").alias("comment_text"),
             F.when(F.col("lang").isin("fr", "en"), F.upper("lang"))
             .otherwise("other")
             .alias("language_human"),
