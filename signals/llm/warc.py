@@ -3,7 +3,8 @@
 Writing makes one record per page. Of the pages with one payload (by SHA-1), the one with the
 largest id becomes a `response`; the others become `revisit` records that refer to it and carry no
 payload. The winner is found by partial aggregation per digest and goes back to the pages by a
-salted join, so a payload that a third of all pages share is spread over `SALTS` tasks.
+salted join, so a payload that a third of all pages share is spread over `SALTS` tasks. Payloads
+go through that join compressed.
 
 A record is its header block and content, and records are separated by an empty line, so Spark's
 text writer with that separator writes the archive to whatever store the path names.
@@ -52,19 +53,42 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         payloads = [(h.as_py() or "").encode() for h in batch.column(2)]
         yield pa.RecordBatch.from_arrays(
             [
-                *batch.columns,
+                batch.column(0),
+                batch.column(1),
                 pa.array([digest(p) for p in payloads], pa.string()),
                 pa.array([len(p) for p in payloads], pa.int64()),
             ],
-            names=["page_id", "url", "html", "digest", "n_bytes"],
+            names=["page_id", "url", "digest", "n_bytes"],
         )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests, and payloads compressed for the way through the shuffle."""
+    codec = pa.Codec("zstd", compression_level=3)
+    for batch in batches:
+        payloads = [(h.as_py() or "").encode() for h in batch.column(2)]
+        (coded,) = _digests([batch])
+        packed = pa.array([codec.compress(p, asbytes=True) for p in payloads], pa.binary())
+        yield pa.RecordBatch.from_arrays([*coded.columns, packed], names=[*coded.schema.names, "packed"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        at = batch.schema.get_field_index("packed")
+        html = [
+            None if p is None else codec.decompress(p, decompressed_size=n, asbytes=True).decode()
+            for p, n in zip(batch.column(at).to_pylist(), batch.column("n_bytes").to_pylist(), strict=True)
+        ]
+        yield batch.set_column(at, "html", pa.array(html, pa.string()))
+
+
 def with_winners(pages: DataFrame, min_revisit_bytes: int) -> DataFrame:
-    """page_id, url, html, digest, n_bytes, winner (the page others of its payload refer to)."""
+    """page_id, url, digest, n_bytes, winner (the page others of its payload refer to), revisit,
+    html (null for revisits)."""
     raw = pages.select("page_id", "url", "html")
-    schema = "page_id long, url string, html string, digest string, n_bytes long"
-    hashed = raw.mapInArrow(_digests, schema).withColumn(
+    schema = "page_id long, url string, digest string, n_bytes long"
+    hashed = raw.mapInArrow(_packed, f"{schema}, packed binary").withColumn(
         "salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")
     )
     winners = (
@@ -76,13 +100,22 @@ def with_winners(pages: DataFrame, min_revisit_bytes: int) -> DataFrame:
         .where("copies > 1")
         .select("digest", "winner", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
-    return hashed.join(winners, ["digest", "salt"], "left")
+    revisit = F.col("winner").isNotNull() & ~F.col("winner").eqNullSafe(F.col("page_id"))
+    return (
+        hashed.join(winners, ["digest", "salt"], "left")
+        .withColumn("revisit", revisit)
+        .select(
+            "page_id", "url", "digest", "n_bytes", "winner", "revisit",
+            F.when(~F.col("revisit"), F.col("packed")).alias("packed"),
+        )
+        .mapInArrow(_unpacked, f"{schema}, winner long, revisit boolean, html string")
+    )
 
 
 def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """One column `value`: each page's whole WARC record without the separator after it."""
     rows = with_winners(pages, min_revisit_bytes)
-    revisit = F.col("winner").isNotNull() & ~F.col("winner").eqNullSafe(F.col("page_id"))
+    revisit = F.col("revisit")
     uri = F.coalesce(F.regexp_replace("url", r"[\r\n]", ""), F.lit(""))
     body = F.when(revisit, F.lit("")).otherwise(
         F.concat(
