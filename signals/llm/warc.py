@@ -64,7 +64,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests, and payloads compressed for the way through the shuffle."""
-    codec = pa.Codec("zstd", compression_level=3)
+    codec = pa.Codec("brotli", compression_level=5)
     for batch in batches:
         payloads = [(h.as_py() or "").encode() for h in batch.column(2)]
         (coded,) = _digests([batch])
@@ -73,7 +73,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codec = pa.Codec("zstd")
+    codec = pa.Codec("brotli")
     for batch in batches:
         at = batch.schema.get_field_index("packed")
         html = [
