@@ -97,6 +97,48 @@ def test_peeling_recovers_the_differing_digests(spark, changed):
     assert [r.found for r in rows] == [r.true for r in rows]
 
 
+def dice(a, b):
+    """Likeness of two texts as sets of word pairs."""
+    x, y = ({*zip(["", *t.split()], t.split())} for t in (a, b))
+    return 2 * len(x & y) / max(len(x) + len(y), 1)
+
+
+def test_fingerprints_keep_the_likeness_of_edited_texts(spark):
+    """Over whole sf0.01: near the likeness as sets of word pairs, and never lost."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(4)
+    rows = {r.doc_id: r for r in fingerprint.op4(spark, docs).collect()}
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    edited = brute_edit(texts)
+    spaced = [(i, t) for i, t in texts if len(t.split()) >= 50 and len(t) < 10 * len(t.split())]
+    assert len(spaced) > 500
+    off = [rows[i].near_edited - dice(t, edited[i]) for i, t in spaced]
+    assert all(abs(d) < 0.35 for d in off) and abs(sum(off)) / len(off) < 0.05
+    long = [(i, t) for i, t in texts if len(t.split()) >= 96]  # some repeat a few words, so share little anyway
+    assert all(rows[i].near_edited > dice(t, edited[i]) - 0.2 and rows[i].near_edited > 0 for i, t in long)
+
+
+def test_paragraphs_are_enough_whatever_the_text(spark):
+    rng = random.Random(5)
+    texts = [
+        " ".join(f"w{rng.randrange(10**6)}" for _ in range(100)),
+        "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(100)),
+        "".join(rng.choice("abc(){};=.,") for _ in range(2000)),
+        " ".join(f"w{rng.randrange(10**6)}" for _ in range(20_000)),
+        "same " * 5000,
+    ]
+    cut = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(
+        "i", fingerprint.sketch_units(F.col("text")).alias("u")
+    ).orderBy("i").collect()
+    assert all(50 <= len(r.u.levels[0]) <= 400 for r in cut[:4])
+    assert all(len(r.u.levels[-1]) == 1 for r in cut) and [r.u.grain for r in cut[:2]] == [0, 0]
+    near = [(10, texts[2]), (9, texts[2][:1000] + "x" + texts[2][1000:]), (8, texts[1]), (7, texts[1][5:])]
+    near += [(6, texts[3]), (5, texts[3][: len(texts[3]) // 2]), (4, texts[4]), (3, texts[4] * 3)]
+    near += [(2, texts[3]), (1, texts[0])]
+    got = {r.doc_id: r.near_next for r in fingerprint.op4(spark, documents(spark, near)).collect()}
+    assert got[10] > 0.9 and got[8] > 0.9 and 0.5 < got[6] < 0.8 and got[4] > 0.5
+    assert got[2] == 0.0 and got[9] < 0.1
+
+
 def page(body, head="<title>T</title><style>p{}</style><script>var a='<p>no</p>';</script>"):
     return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
 
