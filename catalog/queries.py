@@ -336,7 +336,7 @@ def _(ws):
 
 
 # --- evaluation --------------------------------------------------------------------------
-def _human(ws: Workspace, batch: int = 0) -> DataFrame:
+def _human(ws: Workspace, batch: int | None = None) -> DataFrame:
     return derive.human_labels(ws.sources.spark, ws.sources.base, batch)
 
 
@@ -380,13 +380,13 @@ def _draft(ws: Workspace) -> DataFrame:
 
 @register("merge_refusals")
 def _(ws):
-    return evaluation.merge_refusals(_human(ws), _draft(ws))
+    return evaluation.merge_refusals(_human(ws, 0), _draft(ws))
 
 
 @register("merge_validated")
 def _(ws):
     draft = _draft(ws).where("sentiment_human <> 'mitigé'")
-    merged, rest = evaluation.merge_validated(_human(ws), draft)
+    merged, rest = evaluation.merge_validated(_human(ws, 0), draft)
     parts = [merged.withColumn("part", F.lit("merged"))]
     parts.append(rest.drop("validated").withColumn("part", F.lit("remaining")))
     return union_all(parts)

@@ -371,10 +371,10 @@ def comments(spark: SparkSession, base: str) -> DataFrame:
     return rows.union(liked_again).union(repeated).drop("doc_id", "pos").union(turns)
 
 
-def human_labels(spark: SparkSession, base: str, batch: int = 0) -> DataFrame:
+def human_labels(spark: SparkSession, base: str, batch: int | None = None) -> DataFrame:
     """Annotated comments on the lines of labelled documents, as people would write the labels.
 
-    Batch 0 has the lines at even positions, batch 1 the others."""
+    All lines, or for merging drafts: batch 0 those at even positions, batch 1 the others."""
     doc, pos = F.col("doc_id"), F.col("pos")
     n = doc + 7 * pos
     plain = (F.col("said.mark") == "") & (n % 5 != 3)
@@ -387,7 +387,7 @@ def human_labels(spark: SparkSession, base: str, batch: int = 0) -> DataFrame:
             "doc_id", "quality", "toxic", "lang",
             F.posexplode(F.split("text", "\n")).alias("pos", "line"),
         )
-        .where(pos % 2 == batch)
+        .where(F.lit(True) if batch is None else pos % 2 == batch)
         .withColumn("said", F.explode(_said(n, F.col("line"))))
         .select(
             F.concat(
