@@ -40,8 +40,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*")
 BEARER = re.compile(r"\b[Bb]earer\x20+([A-Za-z0-9+/_.=~-]{16,})")
-LOGIN_URL = re.compile(r"\b[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:([^\s/:@]{4,128})@")
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,200}(?![A-Za-z0-9+/_=-])")
+LOGIN_URL = re.compile(r"\b[a-z][a-z0-9+.-]{1,20}://[^\s/:@]*:([^\s/:@]+)@")
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}(?![A-Za-z0-9+/_=-])")
 
 
 def _mixed(value: str) -> bool:
