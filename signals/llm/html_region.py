@@ -29,7 +29,8 @@ TOKEN = re.compile(
     r"|(<)|[^<]+",
     re.DOTALL,
 )
-NAMED = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "select"}
 VOID = {
@@ -44,7 +45,7 @@ BLOCKS = {
 }
 #: Elements that never hold content.
 APART = {"nav", "footer", "aside", "form", "header", "menu", "dialog", "button", "head"}
-#: Words of a class, id or role that mark a part as apart from the content.
+#: Words that mark a part as apart from the content: a whole class, id or role, or its leading word.
 APART_NAMES = {
     "ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs",
     "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus",
@@ -77,6 +78,33 @@ KIND = {
 APART_KIND, LABEL = "apart", {"article", "main"}
 
 
+def attributes(source: str) -> dict[str, str]:
+    """Values by name in small letters; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(source):
+        out.setdefault(name.lower(), "".join(values))
+    return out
+
+
+def apart_names(tag: str, given: dict[str, str], inside: bool) -> set[str]:
+    """The words of APART_NAMES that a tag's class, id or role stands under.
+
+    Headings, paragraphs and inline tags inside labelled content have none, and their ids never
+    count: those are anchors. Nor does the leading word of an id inside labelled content."""
+    small = tag not in BLOCKS or tag == "p" or KIND.get(tag) == "heading"
+    if small and inside:
+        return set()
+    found = set()
+    for attribute in ("class", "id", "role"):
+        if attribute == "id" and small:
+            continue
+        for token in given.get(attribute, "").split():
+            found.add(token.lower())
+            if attribute != "id" or not inside:
+                found.update(w.lower() for w in NAME_PART.findall(token)[:1])
+    return found & APART_NAMES
+
+
 class Page:
     """Events of a page: (feature, text or None, block number, inside labelled content)."""
 
@@ -110,7 +138,7 @@ class Page:
         feature = f"tag:{kind if f'tag:{kind}' in PRIOR else 'other'}"
         self.events.append((feature, None, self.block, self._labelled()))
 
-    def _start(self, tag: str, attributes: str) -> None:
+    def _start(self, tag: str, source: str) -> None:
         if tag in BLOCKS:
             self.block += 1
         if tag in RAW or tag in VOID:
@@ -121,18 +149,21 @@ class Page:
                 self.stack.pop()
         elif tag in CLOSES and self.stack and self.stack[-1][0] in CLOSES[tag]:
             self.stack.pop()
+        given = attributes(source) if source.strip() else {}
         names = {
             part.lower()
-            for groups in NAMED.findall(attributes)
-            for part in NAME_PART.findall(" ".join(groups))
+            for name in ("class", "id", "role")
+            for part in NAME_PART.findall(given.get(name, ""))
         }
         inside = self._labelled()
-        marked = bool(names & APART_NAMES) and not names & {"article", "main", "story"}
-        apart = tag in APART or (marked and tag not in LABEL | {"body", "html"})
-        if "hidden" in re.findall(r"[a-z-]+", attributes.lower()):
-            apart = True
+        marks = apart_names(tag, given, inside) if names else set()
         if tag == "header" and inside:  # an article's own header holds its headline
-            apart = bool(names & (APART_NAMES - {"header"}))
+            apart = bool(marks - {"header"})
+        else:
+            marked = bool(marks) and not names & {"article", "main", "story"}
+            apart = tag in APART or (marked and tag not in LABEL | {"body", "html"})
+        if "hidden" in given or NOT_SHOWN.search(given.get("style", "")):
+            apart = True
         kind = APART_KIND if apart else KIND.get(tag, "inline" if tag not in BLOCKS else "other")
         if tag in LABEL and not self._apart():
             self.labels += not inside

@@ -177,6 +177,23 @@ def test_html_text_of_articles_and_plain_pages(spark):
     assert html_region.op7(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("outer", ['<article style="overflow: hidden">', '<article title="hidden gems">', "<article>"])
+def test_html_text_keeps_what_only_looks_apart(spark, outer):
+    body = (
+        f'<div style="overflow:hidden"><p>{WORDS}</p></div><h2 id="binary-search">Binary</h2>'
+        f'<section id="related-work"><p id="comment-1" class="notice">{WORDS}</p></section>'
+        '<h2 id="social-effects">Effects</h2><p>see <a href="/hidden/x">this</a> <span class="share">too</span></p>'
+        f"<p>{WORDS}</p>"
+    )
+    away = (
+        '<div hidden>a1</div><div style="color:red; display: none">a2</div><section id="comments">a3</section>'
+        '<div class="ad-slot">a4</div><header hidden>a5</header><ul class="share-buttons"><li>a6</ul>'
+    )
+    pages = spark.createDataFrame([(1, "u", page(f"{AROUND[0]}{outer}{body}{away}</article>{AROUND[1]}"))], PAGES)
+    text = html_region.op7(pages).collect()[0].text
+    assert text == f"{WORDS} Binary {WORDS} Effects see this too {WORDS}"
+
+
 def test_html_scan_finds_the_best_region():
     rng = random.Random(3)
     weights = {"word:p": 1.0, "tag:p": -0.7, "word:link": -1.0, "tag:box": -1.5}
