@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterable, Mapping
 
@@ -26,14 +27,16 @@ def blank_to_null(c: Column) -> Column:
 
 
 def _accent_table() -> tuple[str, str]:
-    # Every Latin letter of U+00C0..U+017F that decomposes to one base letter.
+    # Every letter that decomposes to one letter and any marks.
     source, target = [], []
-    for code in range(0xC0, 0x180):
+    for code in range(0xC0, sys.maxunicode + 1):
         char = chr(code)
-        base = unicodedata.normalize("NFD", char)
-        if len(base) > 1 and base[0].isascii():
+        if not unicodedata.decomposition(char) or unicodedata.category(char)[0] != "L":
+            continue
+        parts = unicodedata.normalize("NFD", char)
+        if parts != char and all(unicodedata.category(c)[0] == "M" for c in parts[1:]):
             source.append(char)
-            target.append(base[0])
+            target.append(parts[0])
     return "".join(source), "".join(target)
 
 
@@ -41,7 +44,8 @@ _ACCENTED, _PLAIN = _accent_table()
 
 
 def strip_accents(c: Column) -> Column:
-    return F.translate(c, _ACCENTED, _PLAIN)
+    """Letters without their accents, composed or as marks of their own."""
+    return F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), r"\p{M}+", "")
 
 
 def collapse_spaces(c: Column) -> Column:

@@ -1,5 +1,7 @@
+import unicodedata
 from datetime import date, datetime
 
+import duckdb
 from pyspark.sql import functions as F
 
 from signals.functions import dates, labels, money, text
@@ -40,6 +42,17 @@ def test_money(column_values):
     assert column_values(["2 EUR", "2", "x"], converted) == [1310.0, 2.0, None]
 
 
+def test_entity_key_of_any_accent(column_values):
+    """As DuckDB's strip_accents, which the check SQL uses."""
+    letters = [chr(c) for a, b in ((0xC0, 0x250), (0x370, 0x530), (0x1E00, 0x2000)) for c in range(a, b)]
+    accented = [c for c in letters if unicodedata.decomposition(c)[:1] not in ("", "<") and c.isalpha()]
+    texts = ["Cafe\u0301", "Ph\u1ea1m", *accented, *(unicodedata.normalize("NFD", c) for c in accented)]
+    sql = "SELECT lower(strip_accents(x)) FROM (SELECT unnest(?) AS x, generate_subscripts(?, 1) AS i) ORDER BY i"
+    wanted = [v for (v,) in duckdb.execute(sql, [texts, texts]).fetchall()]
+    assert column_values(texts, text.entity_key) == wanted
+    assert wanted[:2] == ["cafe", "pham"]
+
+
 def test_entity_key(column_values):
     texts = ["Épicerie  du Marché ", "EPICERIE DU MARCHE", "épicerie du marché 2", None]
     assert column_values(texts, text.entity_key) == [
