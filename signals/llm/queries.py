@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from signals.llm import (
     decontaminate,
+    dialogue,
     fingerprint,
     html_region,
     language,
     ngram_join,
     packing,
+    prefix_trie,
     quality,
     secrets,
+    substring,
     token_output,
     warc,
 )
@@ -61,6 +64,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.op10(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.op11(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.op12(table(spark, sf_dir, "conversations"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.op13(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -72,5 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_language": op9_language,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE_SQL}
