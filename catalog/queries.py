@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from signals.functions import labels
 from signals.operators import (
-    cleaning, conform, dedupe, evaluation, filters, items, profiling, quality, sampling, scoring,
+    cleaning, conform, dedupe, evaluation, filters, identity, items, profiling, quality, sampling, scoring,
     trends, voice_rules,
 )
 from signals.plans import brief, marts, metrics
@@ -153,12 +153,10 @@ on_table(
         F.sum("net_revenue_fcfa").alias("net_revenue_fcfa"),
     ),
 )
-on_table(
+on_source(
     "technical_row_id",
-    "clean_chat_orders",
-    lambda df: cleaning.technical_row_id(df).agg(
-        F.count("*").alias("row_count"), F.count_distinct("row_id").alias("row_ids")
-    ),
+    "whatsapp_orders",
+    lambda df: identity.with_row_ids(df).select("row_id", "order_ref", "received_at", "amount_fcfa"),
 )
 on_table(
     "recon_variance_ratio",

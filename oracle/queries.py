@@ -24,7 +24,7 @@ WHOLE = [
 ]
 for _name in WHOLE:
     SQL[_name] = f"SELECT * FROM t_{_name}"
-SQL["order_items"] = """SELECT order_ref, received_at, customer_phone, items_text, amount_fcfa,
+SQL["order_items"] = """SELECT row_id, order_ref, received_at, customer_phone, items_text, amount_fcfa,
   status, delivery_zone, segment, product, format, quantity, parse_status, parse_failed
   FROM t_order_lines"""
 SQL["load_summary"] = " UNION ALL ".join(
@@ -49,7 +49,7 @@ SQL |= {
       sum(return_revenue_fcfa) AS return_revenue_fcfa FROM t_clean_pos_sales GROUP BY 1""",
     "net_revenue": """SELECT product_sku, count(revenue_fcfa) AS known_rows, count(*) AS row_count,
       sum(net_revenue_fcfa) AS net_revenue_fcfa FROM t_clean_pos_sales GROUP BY 1""",
-    "technical_row_id": "SELECT count(*) AS row_count, count(*) AS row_ids FROM r_orders",
+    "technical_row_id": "SELECT row_id, order_ref, received_at, amount_fcfa FROM r_order_ids",
     "recon_variance_ratio": "SELECT month, channel, campaign_vs_invoiced_variance_fcfa, "
     "campaign_to_invoiced_ratio FROM t_media_reconciliation",
     # duplicates, filters, keys
@@ -228,8 +228,8 @@ SQL |= {
       UNION ALL SELECT comment_id, 'product_human' FROM ready
         WHERE product_human NOT IN ({items(lx.CLASSES["product"])})
       UNION ALL SELECT comment_id, 'already_labelled' FROM ready
-        WHERE comment_id IN (SELECT comment_id FROM r_human)""",
-    "merge_validated": """SELECT *, 'merged' AS part FROM r_human
+        WHERE comment_id IN (SELECT comment_id FROM r_human_first)""",
+    "merge_validated": """SELECT *, 'merged' AS part FROM r_human_first
       UNION ALL SELECT *, CASE WHEN is_spam_human IN ('true', 'false') THEN 'merged'
         ELSE 'remaining' END FROM r_human_next WHERE language_human <> 'FR'""",
 }
@@ -647,7 +647,7 @@ _RELATIONS = [
         (f"unique_{k}", t, _UNIQUE.format(k=k, t=f"t_{t}"))
         for t, k in [("sales_calendar", "sale_date"), ("comments_enriched", "comment_id"),
                      ("pos_dimension", "pos_key"), ("product_dimension", "product_sku"),
-                     ("chat_customers", "customer_key")]
+                     ("chat_customers", "customer_key"), ("order_quality", "row_id")]
     ],
     ("calendar_bounds", "sales_calendar", SQL["assert_calendar_bounds"]),
     ("calendar_flags", "sales_calendar", SQL["assert_calendar_flags"]),

@@ -159,6 +159,22 @@ FROM (
 )
 
 
+_CELLS = [
+    *["order_ref", "received_at", "customer_phone", "items_text"],
+    "CASE WHEN amount_fcfa::DECIMAL(38, 6)::DOUBLE = amount_fcfa "
+    "THEN amount_fcfa::DECIMAL(38, 6)::VARCHAR ELSE amount_fcfa::VARCHAR END",
+    *["delivery_zone", "status"],
+]
+_CELL_TEXT = ", ".join(f"coalesce(length({c})::VARCHAR || ':' || ({c}), 'null')" for c in _CELLS)
+define(
+    "r_order_ids",
+    f"""
+SELECT *, digest || '-' || (row_number() OVER (PARTITION BY digest))::VARCHAR AS row_id
+FROM (SELECT *, md5(concat_ws(',', {_CELL_TEXT})) AS digest FROM r_orders)
+""",
+)
+
+
 def said(rows: str) -> str:
     """`rows` (doc_id, pos, line, ...) with mark and said: the line, phrases before or beside it."""
     n = "(doc_id + pos * 7)"
@@ -211,7 +227,7 @@ FROM conversations
 )
 
 
-def human(batch: int) -> str:
+def human(batch: int | None = None) -> str:
     n = "(doc_id + 7 * pos)"
     plain = f"mark = '' AND {n} % 5 <> 3"
     themes, products = [t for _, t, _ in d.PHRASES], [p for _, _, p in d.PHRASES]
@@ -228,9 +244,11 @@ SELECT 'C' || doc_id::VARCHAR || '-' || pos::VARCHAR || mark AS comment_id,
   CASE WHEN toxic = 1 THEN {pick(["true", "1", "Yes"], "doc_id % 3")}
     ELSE {pick(["false", "0", "no", "?"], "doc_id % 4")} END AS is_spam_human
 FROM {said("r_split")} JOIN labels USING (doc_id)
-WHERE pos % 2 = {batch}
+WHERE {"true" if batch is None else f"pos % 2 = {batch}"}
 """
 
 
-define("r_human", human(0))
+define("r_human", human())
+# Two batches, for merging drafts only.
+define("r_human_first", human(0))
 define("r_human_next", human(1))

@@ -123,7 +123,7 @@ define(
 SELECT *, received_at::DATE AS order_date, date_trunc('month', received_at)::DATE AS month,
   received_at IS NULL AS received_at_parse_failed, customer_phone IS NULL AS phone_parse_failed
 FROM (
-  SELECT trim(order_ref) AS order_ref,
+  SELECT row_id, trim(order_ref) AS order_ref,
     count(*) OVER (PARTITION BY order_ref) > 1 AS order_ref_repeated,
     trim(received_at) AS received_at_raw,
     try_strptime(trim(received_at), ['%Y-%m-%d %H:%M', '%d/%m/%Y %H:%M', '%Y-%m-%d', '%d/%m/%Y'])
@@ -136,7 +136,7 @@ FROM (
     amount_fcfa IS NULL AS amount_missing, trim(delivery_zone) AS delivery_zone_raw,
     lower(trim(delivery_zone)) AS delivery_zone, trim(status) AS status_raw,
     {mapped("status", lb.ORDER_STATUSES, "lower(trim(status))")} AS status
-  FROM r_orders)
+  FROM r_order_ids)
 """,
 )
 
@@ -241,8 +241,7 @@ FROM (
   FROM (
     SELECT *, trim(unnest(string_split(regexp_replace(lower(regexp_replace(regexp_replace(
       items_text, '\([^)]*\)', '', 'g'), '\s+', ' ', 'g')), '\s+et\s+', '+', 'g'), '+'))) AS segment
-    FROM (SELECT *, row_number() OVER () AS n FROM t_clean_chat_orders
-          WHERE items_text IS NOT NULL)))
+    FROM t_clean_chat_orders WHERE items_text IS NOT NULL))
 """,
 )
 
@@ -254,7 +253,7 @@ def _u(cond: str) -> str:
 define(
     "t_order_quality",
     f"""
-SELECT * EXCLUDE (n), amount_fcfa IS NULL AS amount_missing,
+SELECT *, amount_fcfa IS NULL AS amount_missing,
   coalesce(amount_fcfa > 100000, false) AS amount_outlier,
   CASE WHEN amount_fcfa <= 100000 THEN amount_fcfa END AS amount_plausible_fcfa,
   unresolved_item_lines > 0 AS has_unknown_product, missing_format_lines > 0 AS has_missing_format,
@@ -263,7 +262,7 @@ SELECT * EXCLUDE (n), amount_fcfa IS NULL AS amount_missing,
     WHEN missing_format_lines = item_line_count THEN 'missing_format_only'
     ELSE 'unresolved' END AS order_parse_status
 FROM (
-  SELECT n, any_value(order_ref) AS order_ref, any_value(received_at) AS received_at,
+  SELECT row_id, any_value(order_ref) AS order_ref, any_value(received_at) AS received_at,
     any_value(amount_fcfa) AS amount_fcfa, any_value(status) AS status, any_value(month) AS month,
     count(*) AS item_line_count,
     {count_if("parse_status = 'parsed'")} AS parsed_item_lines,
@@ -272,7 +271,7 @@ FROM (
     {_u("true")} AS quantity_total, {_u("product = 'bissap'")} AS bissap_units,
     {_u("product = 'gingembre'")} AS gingembre_units, {_u("product = 'bouye'")} AS bouye_units,
     {_u("format = '1L'")} AS format_1l_units, {_u("format = '33cl'")} AS format_33cl_units
-  FROM t_order_lines GROUP BY n)
+  FROM t_order_lines GROUP BY row_id)
 """,
 )
 

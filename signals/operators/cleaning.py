@@ -15,6 +15,7 @@ from signals.operators.dedupe import (
     drop_exact_duplicates_flagged,
     flag_repeated_key,
 )
+from signals.operators.identity import COPIES, counted_copies, numbered, row_digest
 from signals.params import Params
 
 
@@ -125,15 +126,17 @@ def clean_comments(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_chat_orders(raw: DataFrame, with_row_id: bool = False) -> DataFrame:
-    """Free-text delivery orders.
+def clean_chat_orders(raw: DataFrame) -> DataFrame:
+    """Free-text delivery orders, each with a reproducible ``row_id``.
 
-    ``with_row_id`` adds an arbitrary unique number per row. It needs no shuffle and is never
-    used as a join key here; write the table before treating the number as stable.
+    Exact copies are counted first; both the ids and the flag of repeated references come from
+    that one table, so the source is read and shuffled whole once.
     """
-    flagged = flag_repeated_key(raw, "order_ref", "order_ref_repeated")
+    counted = counted_copies(raw).withColumn("_digest", row_digest(raw))
+    flagged = flag_repeated_key(counted, "order_ref", "order_ref_repeated", weight=COPIES)
     phone = text.normalize_phone(F.col("customer_phone"))
-    cleaned = flagged.select(
+    return numbered(flagged, "_digest", "row_id").select(
+        "row_id",
         F.trim("order_ref").alias("order_ref"),
         "order_ref_repeated",
         F.trim("received_at").alias("received_at_raw"),
@@ -154,12 +157,6 @@ def clean_chat_orders(raw: DataFrame, with_row_id: bool = False) -> DataFrame:
         F.col("received_at").isNull().alias("received_at_parse_failed"),
         F.col("customer_phone").isNull().alias("phone_parse_failed"),
     )
-    return technical_row_id(cleaned) if with_row_id else cleaned
-
-
-def technical_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """An arbitrary unique number per row, for rows that have no natural key."""
-    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 # Month spellings accepted in a campaign name. The first six months match

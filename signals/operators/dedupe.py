@@ -32,12 +32,14 @@ def rows_where_key_repeats(df: DataFrame, *keys: str) -> DataFrame:
     return df.join(repeated_keys(df, *keys).select(*keys), list(keys), "left_semi")
 
 
-def flag_repeated_key(df: DataFrame, key: str, flag: str) -> DataFrame:
+def flag_repeated_key(df: DataFrame, key: str, flag: str, weight: str | None = None) -> DataFrame:
     """Add ``flag``: does the key occur more than once? NULL keys form one group.
 
-    Aggregate and join back instead of a window: the count is combined before the shuffle,
-    and adaptive execution splits the row side of the join when one key is hot.
+    ``weight`` names a column of row counts where ``df`` holds counted copies. Aggregate and join
+    back instead of a window: the count is combined before the shuffle, and adaptive execution
+    splits the row side of the join when one key is hot.
     """
-    counts = df.groupBy(key).agg((F.count("*") > 1).alias(flag))
+    rows = F.count("*") if weight is None else F.sum(weight)
+    counts = df.groupBy(key).agg((rows > 1).alias(flag))
     other = counts.withColumnRenamed(key, "_key")
     return df.join(other, df[key].eqNullSafe(other["_key"]), "left").drop("_key")

@@ -1,8 +1,8 @@
 """Order text -> item lines -> order quality.
 
 The lines of one order are kept as an array on the order's own row, so the order-level
-figures need neither an id nor a shuffle. ``order_items`` explodes the array when the item
-grain itself is wanted.
+figures need no shuffle. ``order_items`` explodes the array when the item grain itself is
+wanted; both carry the order's ``row_id``.
 """
 
 from __future__ import annotations
@@ -76,6 +76,7 @@ def with_items(orders: DataFrame) -> DataFrame:
 def order_items(orders: DataFrame) -> DataFrame:
     """One row per item line, parsed after the explode where the expressions compile."""
     lines = orders.where(F.col("items_text").isNotNull()).select(
+        "row_id",
         "order_ref",
         "received_at",
         "customer_phone",
@@ -109,6 +110,7 @@ def order_quality(orders: DataFrame, params: Params = Params()) -> DataFrame:
     """One row per order that has text: amount plausibility and parse quality."""
     amount, limit = F.col("amount_fcfa"), F.lit(float(params.max_plausible_amount))
     counted = with_items(orders).select(
+        "row_id",
         "order_ref",
         "received_at",
         "amount_fcfa",

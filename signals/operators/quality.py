@@ -58,7 +58,7 @@ def row_checks(params: Params = Params()) -> dict[str, dict[str, str]]:
             "or units_sold <> gross_units + return_units",
         },
         "clean_chat_orders": {
-            **_not_null("order_ref", "received_at", "customer_phone", "items_text", "status"),
+            **_not_null("row_id", "order_ref", "received_at", "customer_phone", "items_text", "status"),
             "accepted_status": "status not in ('delivered', 'cancelled', 'pending')",
         },
         "clean_comments": {
@@ -85,7 +85,7 @@ def row_checks(params: Params = Params()) -> dict[str, dict[str, str]]:
             "mapped_sku": "product is null or format is null or volume_litres is null",
         },
         "order_items": {
-            **_not_null("order_ref", "quantity"),
+            **_not_null("row_id", "order_ref", "quantity"),
             "accepted_format": "format not in ('1L', '33cl')",
             "accepted_product": f"product not in {_KNOWN_PRODUCTS}",
             "positive_quantity": "quantity <= 0",
@@ -95,6 +95,7 @@ def row_checks(params: Params = Params()) -> dict[str, dict[str, str]]:
             f"try_cast(regexp_extract(segment, {_LEADING_NUMBER}, 1) as int))",
         },
         "order_quality": {
+            **_not_null("row_id"),
             "plausible_amounts": "(amount_outlier and amount_plausible_fcfa is not null) "
             f"or amount_plausible_fcfa > {limit} or (amount_missing and amount_outlier) or "
             "(amount_fcfa is not null and not amount_outlier and amount_plausible_fcfa is null)",
@@ -148,6 +149,7 @@ UNIQUE_KEYS = {
     "pos_dimension": "pos_key",
     "product_dimension": "product_sku",
     "chat_customers": "customer_key",
+    "order_quality": "row_id",
 }
 
 

@@ -135,9 +135,3 @@ def test_source_coverage(spark):
     }
     assert got["A"].campaign_to_invoiced_ratio == 2.0
     assert got["B"].campaign_vs_invoiced_variance_fcfa is None
-
-
-def test_row_ids_are_unique(spark):
-    df = spark.range(1000).repartition(7)
-    ids = cleaning.technical_row_id(df).agg(F.count_distinct("row_id")).first()[0]
-    assert ids == 1000
