@@ -13,6 +13,7 @@ from signals.operators import (
     cleaning, conform, dedupe, evaluation, filters, identity, items, profiling, quality, sampling, scoring,
     trends, voice_rules,
 )
+from signals.operators.score_log import ScoreLog, incremental_score
 from signals.plans import brief, marts, metrics
 from signals.plans.metrics import Intent, metric_query
 from signals.plans.workspace import Workspace
@@ -26,7 +27,7 @@ QUERIES: dict[str, Query] = {}
 
 # Tables worth writing once when nearly everything is built in one go.
 BASE_TABLES = (
-    "clean_campaigns", "clean_pos_sales", "clean_chat_orders", "clean_comments", "order_quality",
+    "clean_campaigns", "clean_pos_sales", "sales_daily", "clean_chat_orders", "clean_comments", "order_quality",
     "comments_enriched", "sales_calendar", "campaign_rollup", "marketing_channel_monthly", "sales_monthly",
     "monthly_performance", "social_monthly", "channel_evidence", "channel_decision",
     "product_dimension", "product_mix_monthly", "chat_orders_monthly", "chat_customers",
@@ -64,7 +65,7 @@ def value_pairs(*columns: str) -> Callable[[DataFrame], DataFrame]:
 # --- whole tables ------------------------------------------------------------------------
 for _name in (
     "clean_campaigns", "clean_media_plan", "clean_pos_sales", "clean_comments",
-    "clean_chat_orders", "campaign_attributes", "product_dimension", "sales_calendar",
+    "clean_chat_orders", "campaign_attributes", "sales_daily", "product_dimension", "sales_calendar",
     "order_items", "order_quality", "media_reconciliation", "comments_enriched",
     "marketing_channel_monthly", "sales_monthly", "monthly_performance",
     "channel_performance_monthly", "product_mix_monthly", "chat_orders_monthly",
@@ -294,7 +295,12 @@ def _(ws):
         "comment_id",
         F.col("language_human").alias("language"),
         F.col("sentiment_human").alias("sentiment"),
-        F.when(F.col("product_human") != "none", F.upper("theme_human")).alias("theme"),
+        # Some themes under another name, which is repaired.
+        F.when(F.col("product_human") == "none", None)
+        .when(F.col("theme_human") == "availability", " Stock fini")
+        .when(F.col("theme_human") == "packaging", "couleur")
+        .otherwise(F.upper("theme_human"))
+        .alias("theme"),
         F.col("is_spam_human").alias("is_spam"),
     )
     return scoring.conform_labels(raw).withColumn("coerced", F.array_join("coerced", ","))
@@ -319,10 +325,20 @@ def _(ws):
     """Two runs into one log: the first only knows the replies, the second adds the rest."""
     comments = ws("clean_comments")
     path = f"{shared_dir(comments.sparkSession)}/signals-log/{uuid.uuid4().hex}"
-    scoring.incremental_score(comments.where("is_reply"), path, ws.params)
-    return scoring.incremental_score(comments, path, ws.params).drop(
-        "coerced", "classifier_version", "run_id"
-    )
+    incremental_score(comments.where("is_reply"), path, 1, ws.params, slices=2)
+    made = incremental_score(comments, path, 2, ws.params, slices=2)
+    return made.drop("coerced", "classifier_version", "run_id")
+
+
+@register("compacted_log")
+def _(ws):
+    """The log of two runs after compaction: one set of files, the newest row per comment."""
+    comments = ws("clean_comments")
+    log = ScoreLog(comments.sparkSession, f"{shared_dir(comments.sparkSession)}/signals-log/{uuid.uuid4().hex}")
+    log.score(comments.where("is_reply"), ws.params.classifier_version, 1, slices=2)
+    log.score(comments, ws.params.classifier_version, 2, slices=2)
+    log.compact(buckets=4)
+    return log.rows().drop("coerced", "classifier_version", "run_id")
 
 
 @register("keep_last")

@@ -15,7 +15,7 @@ SQL: dict[str, str] = dict(voice.QUERIES)
 
 WHOLE = [
     "clean_campaigns", "clean_media_plan", "clean_pos_sales", "clean_comments",
-    "clean_chat_orders", "campaign_attributes", "product_dimension", "sales_calendar",
+    "clean_chat_orders", "campaign_attributes", "sales_daily", "product_dimension", "sales_calendar",
     "order_quality", "media_reconciliation", "comments_enriched", "marketing_channel_monthly",
     "sales_monthly", "monthly_performance", "channel_performance_monthly",
     "product_mix_monthly", "chat_orders_monthly", "chat_customers", "social_monthly",
@@ -156,6 +156,7 @@ SQL |= {
     "label_comments": _PREDICTED,
     "merge_rules_and_scores": _PREDICTED,
     "incremental_score": _PREDICTED,
+    "compacted_log": _PREDICTED,
     "keep_last": _PREDICTED,
     "derive_product": _counts("t_predictions", "theme_model", "product_model"),
     "score_distinct_texts": """SELECT DISTINCT sha256(n) AS score_key, 'other' AS language,

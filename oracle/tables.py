@@ -173,6 +173,18 @@ FROM (
 """,
 )
 
+define(
+    "t_sales_daily",
+    """
+SELECT sale_date, pos_key, pos_name, commune, product_sku, count(*) AS line_count,
+  sum(units_sold)::BIGINT AS units_sold, sum(revenue_fcfa) AS revenue_fcfa,
+  sum(net_revenue_fcfa) AS net_revenue_fcfa, sum(gross_units)::BIGINT AS gross_units,
+  sum(return_units)::BIGINT AS return_units, sum(gross_revenue_fcfa) AS gross_revenue_fcfa,
+  sum(return_revenue_fcfa) AS return_revenue_fcfa
+FROM t_clean_pos_sales GROUP BY ALL
+""",
+)
+
 define(
     "t_product_dimension",
     """

@@ -191,3 +191,30 @@ CONVERSATIONAL = [
 # Emoji that carry a sentiment when nothing is written.
 POSITIVE_EMOJI = ["❤", "😍", "😋", "👍", "👌", "💪", "🔥", "👏", "🥰", "😊", "🙏"]
 NEGATIVE_EMOJI = ["😡", "😤", "👎", "😒", "😭", "🤮", "😠"]
+
+# Other names under which scorers give a theme.
+THEME_ALIASES = {
+    "quality": "taste",
+    "sweetness": "taste",
+    "degustation": "taste",
+    "food": "taste",
+    "bouteille": "packaging",
+    "couleur": "packaging",
+    "radio": "promotion",
+    "tiktok": "promotion",
+    "boosting followers": "promotion",
+    "boosting": "promotion",
+    "stand organized": "promotion",
+    "question sur un produit": "product_question",
+    "achat": "product_question",
+    "stock fini": "availability",
+    "fini": "availability",
+    "location": "availability",
+    "annulation": "service",
+    "disconnection": "service",
+    "frustration": "service",
+    "bouye": "other",
+    "jeux de mots": "other",
+    "friendship": "other",
+    "conservateur": "health",
+}

@@ -8,6 +8,23 @@ from pyspark.sql import functions as F
 from signals.functions import dates, labels, money
 
 
+SALES_SUMS = [
+    "units_sold", "revenue_fcfa", "net_revenue_fcfa", "gross_units", "return_units",
+    "gross_revenue_fcfa", "return_revenue_fcfa",
+]
+
+
+def sales_daily(sales: DataFrame) -> DataFrame:
+    """Sales lines summed to (day, store, spelling, commune, SKU), under the lines' own names.
+
+    Sums add up further and distinct stores, spellings, communes, days and SKUs are all there, so
+    the calendar, the product dimension and the monthly sales tables read this instead of the lines.
+    """
+    return sales.groupBy("sale_date", "pos_key", "pos_name", "commune", "product_sku").agg(
+        F.count("*").alias("line_count"), *[F.sum(c).alias(c) for c in SALES_SUMS]
+    )
+
+
 def sales_calendar(sales: DataFrame) -> DataFrame:
     """One row per day from the first month's first day to the last month's last day."""
     observed = sales.groupBy("sale_date").agg(F.count("*").alias("n"))
@@ -148,27 +165,16 @@ def media_reconciliation(spend: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+COMMENT_COLUMNS = [
+    "comment_id", "platform", "published_at", "author_handle", "comment_text", "like_count", "reply_to_id",
+]
+LABEL_COLUMNS = [
+    "language_model", "sentiment_model", "theme_model", "product_model", "is_spam_model", "model_used",
+    "rules_complete",
+]
+
+
 def comments_enriched(comments: DataFrame, predictions: DataFrame) -> DataFrame:
     """Comments with their labels; a comment nobody scored keeps NULL labels."""
-    return comments.select(
-        "comment_id",
-        "platform",
-        "published_at",
-        "author_handle",
-        "comment_text",
-        "like_count",
-        "reply_to_id",
-    ).join(
-        predictions.select(
-            "comment_id",
-            "language_model",
-            "sentiment_model",
-            "theme_model",
-            "product_model",
-            "is_spam_model",
-            "model_used",
-            "rules_complete",
-        ),
-        "comment_id",
-        "left",
-    )
+    labels_by_id = predictions.select("comment_id", *LABEL_COLUMNS)
+    return comments.select(*COMMENT_COLUMNS).join(labels_by_id, "comment_id", "left")

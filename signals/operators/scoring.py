@@ -1,8 +1,9 @@
-"""Completing rule labels with an optional scorer, and incremental scoring.
+"""Completing rule labels with an optional scorer.
 
 A scorer is a function from a frame with ``score_key`` and ``comment_text`` to the same keys
-with raw ``language, sentiment, theme, is_spam`` text labels. The default answers the
-constant labels with plain columns; ``pandas_scorer`` wraps a batch model.
+with raw ``language, sentiment, theme, is_spam`` text labels and, if it likes, the ``error`` that
+kept it from labelling a text. The default answers the constant labels with plain columns;
+``pandas_scorer`` wraps a batch model. ``score_log`` scores incrementally.
 """
 
 from __future__ import annotations
@@ -10,13 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signals.functions import lexicon as lx
 from signals.operators import voice_rules
-from signals.params import Params
-from signals.sources.io import available, stage
+from signals.operators.conform import LABEL_COLUMNS
+from signals.sources.io import stage
 
 Scorer = Callable[[DataFrame], DataFrame]
 RAW_FIELDS = voice_rules.SCORED_FIELDS
@@ -33,19 +34,37 @@ def constant_scorer(texts: DataFrame) -> DataFrame:
     )
 
 
+def _isolated(label_batch: Callable[[pd.Series], pd.DataFrame], texts: pd.Series) -> pd.DataFrame:
+    """Labels of a batch. A batch that fails is halved until the texts at fault stand alone; they
+    get the error instead of labels, all others their labels."""
+    try:
+        labels = label_batch(texts)
+        if len(labels) != len(texts):
+            raise ValueError(f"{len(labels)} answers to {len(texts)} texts")
+        return labels.reindex(columns=RAW_FIELDS).assign(error=None)
+    except Exception as fault:  # whatever a model raises concerns its batch only
+        if len(texts) == 1:
+            empty = pd.DataFrame(None, index=texts.index, columns=RAW_FIELDS, dtype=object)
+            return empty.assign(error=f"{type(fault).__name__}: {fault}")
+        half = len(texts) // 2
+        parts = [_isolated(label_batch, texts.iloc[:half]), _isolated(label_batch, texts.iloc[half:])]
+        return pd.concat([p.astype(object) for p in parts])
+
+
 def pandas_scorer(label_batch: Callable[[pd.Series], pd.DataFrame]) -> Scorer:
     """Scorer from a function of a batch of texts to a frame with the raw label columns.
 
-    A row the function labels with NULL in every field counts as failed.
+    A row the function labels with NULL in every field counts as failed; so does a text the
+    function cannot take, alone.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            labels = label_batch(batch["comment_text"]).reindex(columns=RAW_FIELDS)
+            labels = _isolated(label_batch, batch["comment_text"])
             labels.insert(0, "score_key", batch["score_key"].to_numpy())
             yield labels.astype(object).where(labels.notna(), None)
 
-    schema = "score_key string, " + ", ".join(f"{f} string" for f in RAW_FIELDS)
+    schema = "score_key string, " + ", ".join(f"{f} string" for f in RAW_FIELDS) + ", error string"
     return lambda texts: texts.select("score_key", "comment_text").mapInPandas(run, schema)
 
 
@@ -53,10 +72,18 @@ def truthy(value: Column) -> Column:
     return F.coalesce(F.lower(F.trim(value)).isin(*lx.TRUTHY), F.lit(False))
 
 
+def repaired(value: Column, aliases: dict[str, str]) -> Column:
+    """A label written under another known name becomes the label."""
+    pairs = [F.lit(x) for pair in aliases.items() for x in pair]
+    return F.coalesce(F.create_map(*pairs)[value], value)
+
+
 def conform_labels(df: DataFrame) -> DataFrame:
-    """Raw labels to the closed vocabularies; ``coerced`` lists the fields replaced."""
+    """Raw labels to the closed vocabularies, known other names first; ``coerced`` lists the
+    fields that had to be replaced."""
     fields = [f for f in RAW_FIELDS if f != "is_spam"]
     clean = {f: F.lower(F.trim(F.col(f))) for f in fields}
+    clean["theme"] = repaired(clean["theme"], lx.THEME_ALIASES)
     known = {f: F.coalesce(clean[f].isin(*lx.CLASSES[f]), F.lit(False)) for f in fields}
     replaced = F.array(*[F.when(~known[f], F.lit(f)) for f in fields])
     return df.select(
@@ -71,8 +98,11 @@ def _text_key(text: Column) -> Column:
     return F.sha2(voice_rules.normalize_comment(text), 256)
 
 
-def score_distinct_texts(ruled: DataFrame, scorer: Scorer = constant_scorer) -> DataFrame:
-    """Conformed labels per distinct normal text among the comments the rules leave open.
+ANSWERED = " or ".join(f"{f} is not null" for f in RAW_FIELDS)
+
+
+def raw_scores(ruled: DataFrame, scorer: Scorer = constant_scorer) -> DataFrame:
+    """A scorer's answers per distinct normal text among the comments the rules leave open.
 
     Copies of a text collapse before the shuffle and the scorer sees each text once.
     """
@@ -82,9 +112,12 @@ def score_distinct_texts(ruled: DataFrame, scorer: Scorer = constant_scorer) ->
         .distinct()
         .withColumn("score_key", F.sha2("comment_text", 256))
     )
-    raw = scorer(texts)
-    answered = " or ".join(f"{f} is not null" for f in RAW_FIELDS)
-    return conform_labels(raw.where(answered))
+    return scorer(texts)
+
+
+def score_distinct_texts(ruled: DataFrame, scorer: Scorer = constant_scorer) -> DataFrame:
+    """Conformed labels per distinct open text; texts without any label are left out."""
+    return conform_labels(raw_scores(ruled, scorer).where(ANSWERED).drop("error"))
 
 
 def merge_rules_and_scores(ruled: DataFrame, scores: DataFrame) -> DataFrame:
@@ -120,36 +153,75 @@ def merge_rules_and_scores(ruled: DataFrame, scores: DataFrame) -> DataFrame:
     return label(done, False).unionByName(label(scored, True))
 
 
-def default_labels(ruled: DataFrame) -> DataFrame:
-    """``merge_rules_and_scores`` with the constant scorer, without its join.
+def default_label_columns() -> list[Column]:
+    """Label columns of a ruled comment whose open fields take their defaults.
 
     The default label of a field is the same for every text, so a coalesce is enough.
     """
     final = {f: F.coalesce(F.col(f"rule_{f}"), F.lit(lx.DEFAULTS[f])) for f in RAW_FIELDS}
     product = F.coalesce(F.col("rule_product"), voice_rules.derive_product(final["theme"]))
-    return ruled.select(
-        "comment_id",
-        "comment_text",
+    return [
         final["language"].alias("language_model"),
         final["sentiment"].alias("sentiment_model"),
         final["theme"].alias("theme_model"),
         product.alias("product_model"),
         final["is_spam"].alias("is_spam_model"),
         (~F.col("rules_complete")).alias("model_used"),
-        "rules_complete",
+        F.col("rules_complete"),
+    ]
+
+
+def default_labels(ruled: DataFrame) -> DataFrame:
+    """``merge_rules_and_scores`` with the constant scorer, without its join."""
+    return ruled.select(
+        "comment_id",
+        "comment_text",
+        *default_label_columns(),
         F.array().cast("array<string>").alias("coerced"),
     )
 
 
-def predict(comments: DataFrame, scorer: Scorer | None = None) -> DataFrame:
-    """One prediction per distinct (comment_id, text); blank comments have none."""
+def labelled_comments(comments: DataFrame) -> DataFrame:
+    """Comments with the default labels of their own text, which need no join; a blank comment
+    keeps NULL labels, like one that nobody scored."""
+    said = F.col("comment_text") != ""
+    ruled = voice_rules.classify_rules(comments)
+    return ruled.select(
+        *comments.columns,
+        F.inline(F.array(F.struct(*default_label_columns()))),
+    ).select(
+        *comments.columns, *[F.when(said, F.col(c)).alias(c) for c in LABEL_COLUMNS]
+    )
+
+
+def predict_reporting(
+    comments: DataFrame, scorer: Scorer | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """One prediction per distinct (comment_id, text), and the comments without one because their
+    text failed, with the error. Blank comments have neither."""
     texts = comments.where("comment_text <> ''").select("comment_id", "comment_text").distinct()
     ruled = voice_rules.classify_rules(texts)
+    none = texts.where("false").withColumn("error", F.lit(None).cast("string"))
     if scorer is None:
-        return default_labels(ruled)
-    # Read three times below, so the rules are evaluated once and written.
+        return default_labels(ruled), none
+    # Read several times below, so rules and scorer run once and are written.
     ruled = stage(ruled)
-    return merge_rules_and_scores(ruled, score_distinct_texts(ruled, scorer))
+    raw = raw_scores(ruled, scorer)
+    raw = stage(raw if "error" in raw.columns else raw.withColumn("error", F.lit(None).cast("string")))
+    scores = conform_labels(raw.where(ANSWERED).drop("error"))
+    lost = raw.where(f"not ({ANSWERED})").select(
+        "score_key", F.coalesce("error", F.lit("no label")).alias("error")
+    )
+    open_rows = ruled.where(~F.col("rules_complete")).select(
+        "comment_id", "comment_text", _text_key(F.col("comment_text")).alias("score_key")
+    )
+    failed = open_rows.join(lost, "score_key").select("comment_id", "comment_text", "error")
+    return merge_rules_and_scores(ruled, scores), failed
+
+
+def predict(comments: DataFrame, scorer: Scorer | None = None) -> DataFrame:
+    """One prediction per distinct (comment_id, text); blank comments have none."""
+    return predict_reporting(comments, scorer)[0]
 
 
 def run_summary(predictions: DataFrame) -> DataFrame:
@@ -173,46 +245,13 @@ def new_only(comments: DataFrame, scored: DataFrame, version: str) -> DataFrame:
     return comments.join(current, "comment_id", "left_anti")
 
 
-def keep_last(predictions: DataFrame) -> DataFrame:
-    """Latest run's row per comment, as an aggregate so that a hot id combines early."""
-    columns = [c for c in predictions.columns if c != "comment_id"]
+def keep_last(predictions: DataFrame, *also: str) -> DataFrame:
+    """Latest run's row per comment (and value of the columns `also`), as an aggregate so that a hot
+    id combines early."""
+    keys = ["comment_id", *also]
+    columns = [c for c in predictions.columns if c not in keys]
     newest = F.max_by(F.struct(*columns), F.struct("run_id", "comment_text"))
-    return predictions.groupBy("comment_id").agg(newest.alias("row")).select("comment_id", "row.*")
-
-
-def current_predictions(spark: SparkSession, path: str, version: str) -> DataFrame | None:
-    """Predictions of one version, never mixed with another; None before the first run."""
-    log = available(spark, path)
-    if log is None:
-        return None
-    return keep_last(log.where(F.col("classifier_version") == version))
-
-
-def write_predictions(predictions: DataFrame, path: str, version: str, run_id: int) -> None:
-    """Append one run. Spark commits the files together, so a crash leaves the log as it was.
-
-    Earlier runs and versions stay on disk as the archive; readers take the latest row of
-    the version they ask for.
-    """
-    stamped = predictions.withColumn("classifier_version", F.lit(version)).withColumn(
-        "run_id", F.lit(run_id)
-    )
-    stamped.write.mode("append").partitionBy("classifier_version", "run_id").parquet(path)
-
-
-def incremental_score(
-    comments: DataFrame, path: str, params: Params = Params(), scorer: Scorer | None = None
-) -> DataFrame:
-    """Score what the current version has not scored, append it, return the full result.
-
-    A comment whose scoring failed is not written, so the next run tries it again.
-    """
-    spark, version = comments.sparkSession, params.classifier_version
-    log = available(spark, path)
-    todo = comments if log is None else new_only(comments, log, version)
-    run_id = 1 if log is None else 1 + (log.agg(F.max("run_id")).first()[0] or 0)
-    write_predictions(predict(todo, scorer), path, version, run_id)
-    return current_predictions(spark, path, version)
+    return predictions.groupBy(*keys).agg(newest.alias("row")).select(*keys, "row.*")
 
 
 def predicted_twice(first: DataFrame, second: DataFrame) -> DataFrame:

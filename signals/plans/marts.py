@@ -62,8 +62,9 @@ def marketing_channel_monthly(rollup: DataFrame, plan: DataFrame) -> DataFrame:
 def sales_monthly(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Month: net, gross and returned units and revenue, distinct stores, day coverage.
 
-    Lines first collapse to (day, store, spelling, commune): four distinct counts over that
-    table cost little, where over the lines they would multiply every row by five.
+    ``sales`` is ``conform.sales_daily`` (or the lines). It first collapses to (day, store, spelling,
+    commune): four distinct counts over that table cost little, where over the lines they would
+    multiply every row by five.
     """
     sums = {
         "units_sold": "net_units_sold",
@@ -157,7 +158,10 @@ def channel_performance_monthly(marketing: DataFrame, sales: DataFrame) -> DataF
 
 
 def product_mix_monthly(sales: DataFrame, products: DataFrame, monthly: DataFrame) -> DataFrame:
-    """Month x SKU: volumes, revenue, share of the month, litres and prices."""
+    """Month x SKU: volumes, revenue, share of the month, litres and prices.
+
+    ``sales`` is ``conform.sales_daily`` (or the lines).
+    """
     month = dates.month_floor(F.col("sale_date")).alias("month")
     by_sku = sales.groupBy(month, "product_sku").agg(
         F.sum("gross_units").alias("gross_units"),

@@ -18,7 +18,7 @@ from signals.sources.io import stage
 
 # Small tables with several readers.
 STAGED = (
-    "campaign_rollup", "marketing_channel_monthly", "monthly_performance", "channel_decision",
+    "sales_daily", "campaign_rollup", "marketing_channel_monthly", "monthly_performance", "channel_decision",
 )
 
 
@@ -71,14 +71,17 @@ class Workspace:
     def _campaign_attributes(self):
         return cleaning.campaign_attributes(self("clean_campaigns"))
 
+    def _sales_daily(self):
+        return conform.sales_daily(self("clean_pos_sales"))
+
     def _product_dimension(self):
-        return conform.product_dimension(self("clean_pos_sales"))
+        return conform.product_dimension(self("sales_daily"))
 
     def _pos_dimension(self):
         return conform.pos_dimension(self("clean_pos_sales"))
 
     def _sales_calendar(self):
-        return conform.sales_calendar(self("clean_pos_sales"))
+        return conform.sales_calendar(self("sales_daily"))
 
     def _order_items(self):
         return items.order_items(self("clean_chat_orders"))
@@ -101,6 +104,8 @@ class Workspace:
         return scoring.predict(self("clean_comments"))
 
     def _comments_enriched(self):
+        if self.predictions is None:
+            return scoring.labelled_comments(self("clean_comments").select(*conform.COMMENT_COLUMNS))
         return conform.comments_enriched(self("clean_comments"), self("social_predictions"))
 
     def _marketing_channel_monthly(self):
@@ -109,7 +114,7 @@ class Workspace:
         )
 
     def _sales_monthly(self):
-        return marts.sales_monthly(self("clean_pos_sales"), self("sales_calendar"))
+        return marts.sales_monthly(self("sales_daily"), self("sales_calendar"))
 
     def _monthly_performance(self):
         return marts.monthly_performance(
@@ -123,7 +128,7 @@ class Workspace:
 
     def _product_mix_monthly(self):
         return marts.product_mix_monthly(
-            self("clean_pos_sales"), self("product_dimension"), self("sales_monthly")
+            self("sales_daily"), self("product_dimension"), self("sales_monthly")
         )
 
     def _chat_orders_monthly(self):

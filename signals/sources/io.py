@@ -10,11 +10,13 @@ import functools
 import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signals.sources.manifest import Manifest, absent
 from signals.sources.schemas import PREDICTION_LABELS, PREDICTION_SCHEMA, SCHEMAS, SOURCES
 
 
@@ -56,11 +58,30 @@ def check_contract(name: str, df: DataFrame | None) -> DataFrame:
     return df
 
 
-def load_all(sources: Mapping[str, DataFrame], out_dir: str) -> None:
-    """Check all sources first, then write all; a failed check writes nothing."""
+def load_all(sources: Mapping[str, DataFrame], out_dir: str, run_id: int = 1) -> str:
+    """Check all sources, write all into a folder of this run, then publish the folder.
+
+    A failed check writes nothing. A source that fails while it is written leaves the load
+    published before it readable as it was: never some sources of one month and some of another.
+    The writes run side by side. Returns the folder.
+    """
     checked = {name: check_contract(name, sources.get(name)) for name in SOURCES}
-    for name, df in checked.items():
-        df.write.mode("overwrite").parquet(f"{out_dir}/raw_{name}")
+    manifest = Manifest(next(iter(checked.values())).sparkSession, out_dir)
+    folder = manifest.fresh(f"load-{run_id}")
+    with ThreadPoolExecutor(len(checked)) as pool:
+        writes = [
+            pool.submit(df.write.parquet, f"{folder}/raw_{name}") for name, df in checked.items()
+        ]
+    for write in writes:
+        write.result()
+    manifest.add("load", run_id, "", folder)
+    return folder
+
+
+def loaded(spark: SparkSession, out_dir: str) -> str | None:
+    """The folder of the newest complete load, None before the first."""
+    newest = Manifest(spark, out_dir).last("load")
+    return newest.folder if newest else None
 
 
 def load_summary(sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -114,24 +135,27 @@ EXPORT_COLUMNS = [
 
 def export_comments(comments: DataFrame, path: str) -> None:
     """Comment texts for an external classifier, ordered by id; repeated ids are refused."""
-    repeated = comments.groupBy("comment_id").count().filter("count > 1")
+    rows = stage(comments.select(*EXPORT_COLUMNS))
+    repeated = rows.groupBy("comment_id").count().filter("count > 1")
     if not repeated.isEmpty():
         raise ContractError("comment_id is not unique, nothing exported")
-    comments.select(*EXPORT_COLUMNS).orderBy("comment_id").write.mode("overwrite").parquet(path)
+    rows.orderBy("comment_id").write.mode("overwrite").parquet(path)
 
 
-def write_mart(df: DataFrame, path: str, by_month: bool = False) -> None:
-    """Overwrite a mart, one directory per month when it is large."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy("month") if by_month else writer).parquet(path)
+def write_mart(df: DataFrame, path: str) -> None:
+    """Overwrite a table whole."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def available(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when it has not been built yet."""
+    """The table at ``path``, or None when it has not been built yet. One that is there but cannot
+    be read is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if absent(error):
+            return None
+        raise
 
 
 @functools.cache

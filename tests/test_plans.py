@@ -9,7 +9,6 @@ from signals.plans import marts, metrics
 from signals.plans.metrics import Intent
 from signals.sources import derive, io
 from signals.sources.schemas import SCHEMAS
-from signals.plans.pipeline import run_month
 
 BASE = "/root/testdata/sf0.001"
 
@@ -156,15 +155,3 @@ def test_checks_fail_when_they_should(spark):
     got = {r.check_name for r in quality.count_violations(bad, "t", rules).collect() if r.violations}
     assert got == {"not_null_sale_date", "non_negative_gross_units", "non_positive_return_units",
                    "identity_net"}
-
-
-def test_monthly_run(spark, tmp_path):
-    sources = {n: derive.BUILDERS[n](spark, BASE) for n in SCHEMAS}
-    # The contract wants one prediction per comment, so near copies are left out here.
-    sources["social_comments"] = sources["social_comments"].dropDuplicates(["comment_id"])
-    report = run_month(spark, sources, str(tmp_path / "month"))
-    failed = {r.check_name for r in report.collect() if not r.passed}
-    assert "budget_total" not in failed and "mix_reconciles" not in failed
-    assert "accepted_status" in failed
-    sales = spark.read.parquet(str(tmp_path / "month" / "sales_monthly"))
-    assert sales.count() > 0

@@ -1,13 +1,9 @@
-import tempfile
-
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from signals.functions import lexicon as lx
 from signals.functions.patterns import Markers
-from signals.operators import evaluation, scoring, voice_rules
-from signals.params import Params
+from signals.operators import conform, evaluation, scoring, voice_rules
 from signals.sources.io import ContractError
 
 # text -> (language, sentiment, theme, product, is_spam)
@@ -87,44 +83,27 @@ def test_conform_labels(spark):
     assert (b.is_spam, b.coerced) == (False, [])
 
 
-def fake_model():
-    # A nested function travels to the workers whole; they cannot import this test.
-    def label_batch(texts: pd.Series) -> pd.DataFrame:
-        failed = texts.str.contains("xyz")
-        labels = pd.DataFrame({"language": "fr", "sentiment": "negative", "theme": "price",
-                               "is_spam": "false"}, index=texts.index)
-        return labels.mask(failed)
-
-    return scoring.pandas_scorer(label_batch)
-
-
-def comments(spark, texts):
-    rows = [(f"c{i}", t) for i, t in enumerate(texts)]
-    return spark.createDataFrame(rows, "comment_id string, comment_text string")
-
-
-def test_resumed_run_equals_clean_run(spark):
-    texts = ["zzz", "ZZZ ", "le bissap est bon", "xyz", "", "stock et prix"]
-    everything = comments(spark, texts)
-    scorer = fake_model()
-    with tempfile.TemporaryDirectory() as folder:
-        clean = scoring.incremental_score(everything, f"{folder}/a", Params(), scorer)
-        part = everything.where("comment_id in ('c0', 'c2')")
-        scoring.incremental_score(part, f"{folder}/b", Params(), scorer)
-        resumed = scoring.incremental_score(everything, f"{folder}/b", Params(), scorer)
-        view = [c for c in clean.columns if c != "run_id"]
-        assert sorted(map(str, clean.select(view).collect())) == sorted(
-            map(str, resumed.select(view).collect())
-        )
-        # The failed text and the blank one are not written and stay to be done.
-        assert {r.comment_id for r in clean.collect()} == {"c0", "c1", "c2", "c5"}
-        log = spark.read.parquet(f"{folder}/b")
-        left = scoring.new_only(everything, log, Params().classifier_version)
-        assert {r.comment_id for r in left.collect()} == {"c3", "c4"}
-        other = Params(classifier_version="rules-2")
-        assert scoring.new_only(everything, log, other.classifier_version).count() == 6
-        again = scoring.incremental_score(everything, f"{folder}/b", other, scorer)
-        assert {r.classifier_version for r in again.collect()} == {"rules-2"}
+def test_known_other_names_are_repaired_first(spark):
+    raw = spark.createDataFrame(
+        [("fr", "neutral", " Stock FINI", None), ("fr", "neutral", "stock", None)],
+        "language string, sentiment string, theme string, is_spam string",
+    )
+    a, b = scoring.conform_labels(raw).collect()
+    assert (a.theme, a.coerced, b.theme, b.coerced) == ("availability", [], "other", ["theme"])
+    assert set(lx.THEME_ALIASES.values()) <= set(lx.CLASSES["theme"])
+
+
+def test_labels_without_a_join_equal_the_joined_ones(spark):
+    rows = [(f"c{i}", "p", None, "a", t, i, None) for i, t in enumerate([*CASES, "", "bissap", "bissap"])]
+    comments = spark.createDataFrame(
+        rows, "comment_id string, platform string, published_at timestamp, author_handle string, "
+        "comment_text string, like_count int, reply_to_id string"
+    )
+    joined = conform.comments_enriched(comments, scoring.predict(comments))
+    labelled = scoring.labelled_comments(comments)
+    assert joined.columns == labelled.columns
+    assert sorted(map(str, joined.collect())) == sorted(map(str, labelled.collect()))
+    assert "Join" not in labelled._jdf.queryExecution().executedPlan().toString()
 
 
 def test_merge_validated_is_all_or_nothing(spark):
