@@ -19,7 +19,7 @@ from signals.plans.metrics import Intent, metric_query
 from signals.plans.workspace import Workspace
 from signals.params import Params
 from signals.session import configure
-from signals.sources import derive
+from signals.sources import derive, faults
 from signals.sources.io import load_summary, shared_dir, union_all
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def on_source(name: str, source: str, build: Callable[[DataFrame], DataFrame]) -
     QUERIES[name] = lambda spark, base: build(workspace(spark, base).sources[source])
 
 
+def built(spark: SparkSession, base: str) -> Workspace:
+    """A workspace whose shared tables are written already."""
+    ws = workspace(spark, base, staged=BASE_TABLES)
+    ws.stage_all()
+    return ws
+
+
 def value_pairs(*columns: str) -> Callable[[DataFrame], DataFrame]:
     """Distinct combinations of raw and parsed values with their frequency."""
     return lambda df: df.groupBy(*columns).agg(F.count("*").alias("row_count"))
@@ -214,10 +221,11 @@ on_source("missing_counts", "campaign_spend_export",
 on_source("planned_vs_invoiced", "media_plan", profiling.planned_vs_invoiced)
 on_source("date_span", "pos_sales_daily", lambda df: profiling.date_span(df, "sale_date"))
 on_source("rows_per_day", "pos_sales_daily", lambda df: profiling.rows_per_day(df, "sale_date"))
+# The derived lines have no such conflicts: they are planted.
 on_source("id_name_conflicts", "pos_sales_daily",
-          lambda df: profiling.id_name_conflicts(df, "pos_id", "pos_name"))
+          lambda df: profiling.id_name_conflicts(faults.shared_store_names(df), "pos_id", "pos_name"))
 on_source("name_id_conflicts", "pos_sales_daily",
-          lambda df: profiling.id_name_conflicts(df, "pos_name", "pos_id"))
+          lambda df: profiling.id_name_conflicts(faults.shared_store_names(df), "pos_name", "pos_id"))
 on_table("store_id_conflicts", "clean_pos_sales",
          lambda df: profiling.id_name_conflicts(df, "pos_key", "pos_id"))
 on_source("negative_profile", "pos_sales_daily", profiling.negative_profile)
@@ -512,9 +520,7 @@ def _(ws):
     return union_all(parts)
 
 
-QUERIES["metric_bounds_check"] = lambda spark, base: metrics.metric_bounds_check(
-    workspace(spark, base, staged=BASE_TABLES)
-)
+QUERIES["metric_bounds_check"] = lambda spark, base: metrics.metric_bounds_check(built(spark, base))
 
 # --- trends ------------------------------------------------------------------------------
 on_table("variation", "sales_monthly",
@@ -610,9 +616,7 @@ on_table("spend_kpis", "budget_allocation", brief.spend_kpis)
 on_table("voice_totals", "social_monthly", brief.voice_totals)
 
 # --- quality -----------------------------------------------------------------------------
-QUERIES["quality_report"] = lambda spark, base: quality.quality_report(
-    workspace(spark, base, staged=BASE_TABLES)
-)
+QUERIES["quality_report"] = lambda spark, base: quality.quality_report(built(spark, base))
 CHECKS = quality.row_checks(Params())
 
 
@@ -631,7 +635,25 @@ _violations("assert_mapped", "product_dimension", "mapped_sku", "product_sku")
 _violations("assert_name_month", "campaign_attributes", "name_month_is_date_month",
             "campaign_name", "month", "campaign_month")
 _violations("assert_predictions", "comments_enriched", "complete_predictions", "comment_id")
-_violations("assert_multiplier", "order_items", "written_multiplier", "segment", "quantity")
+
+
+# Checks that nothing in the derived tables violates run over planted faults.
+def on_faulty(name: str, source: str, build: Callable[[Workspace], DataFrame]) -> None:
+    def run(spark: SparkSession, base: str) -> DataFrame:
+        sources = dict(derive.DerivedSources(configure(spark), base))
+        sources[source] = faults.SOURCE_FAULTS[source](sources[source])
+        return build(Workspace(sources))
+
+    QUERIES[name] = run
+
+
+on_faulty(
+    "assert_multiplier",
+    "whatsapp_orders",
+    lambda ws: quality.violating_rows(
+        ws("order_items"), CHECKS["order_items"]["written_multiplier"]
+    ).select("row_id", "segment", "quantity"),
+)
 
 
 @register("assert_range")
@@ -647,22 +669,26 @@ def _(ws):
 
 
 on_table("assert_unique", "clean_comments", lambda df: quality.assert_unique(df, "comment_id"))
-on_table("assert_entity_keys", "clean_pos_sales", quality.assert_entity_keys)
+on_faulty("assert_entity_keys", "pos_sales_daily",
+          lambda ws: quality.assert_entity_keys(ws("clean_pos_sales")))
 
 
 @register("assert_calendar_bounds")
 def _(ws):
-    return quality.assert_calendar_bounds(ws("sales_calendar"), ws("clean_pos_sales"))
+    tables = faults.damaged(ws)
+    return quality.assert_calendar_bounds(tables("sales_calendar"), ws("clean_pos_sales"))
 
 
 @register("assert_calendar_flags")
 def _(ws):
-    return quality.assert_calendar_flags(ws("sales_calendar"), ws("clean_pos_sales"))
+    tables = faults.damaged(ws)
+    return quality.assert_calendar_flags(tables("sales_calendar"), ws("clean_pos_sales"))
 
 
 @register("assert_mix_reconciles")
 def _(ws):
-    return quality.assert_mix_reconciles(ws("product_mix_monthly"), ws("sales_monthly"))
+    tables = faults.damaged(ws)
+    return quality.assert_mix_reconciles(tables("product_mix_monthly"), ws("sales_monthly"))
 
 
 @register("reconcile_aggregates")
@@ -674,17 +700,18 @@ def _(ws):
 
 @register("assert_chat_amounts")
 def _(ws):
-    return quality.assert_chat_amounts(ws("chat_orders_monthly"), ws("order_quality"))
+    tables = faults.damaged(ws)
+    return quality.assert_chat_amounts(tables("chat_orders_monthly"), ws("order_quality"))
 
 
 @register("assert_budget_total")
 def _(ws):
-    return quality.assert_budget_total(ws("budget_recommendation"), ws.params)
+    return quality.assert_budget_total(faults.damaged(ws)("budget_recommendation"), ws.params)
 
 
 @register("assert_decided_channels")
 def _(ws):
-    return quality.assert_decided_channels(ws("budget_recommendation"), ws.params)
+    return quality.assert_decided_channels(faults.damaged(ws)("budget_recommendation"), ws.params)
 
 
 @register("campaign_totals")

@@ -92,10 +92,10 @@ SQL |= {
     "rows_per_day": "SELECT sale_date AS day, count(*) AS row_count FROM r_pos GROUP BY 1",
     "id_name_conflicts": """SELECT pos_id AS key_value, count(DISTINCT pos_name) AS distinct_values,
       string_agg(DISTINCT pos_name, ' | ' ORDER BY pos_name) AS joined_values
-      FROM r_pos GROUP BY 1 HAVING count(DISTINCT pos_name) > 1""",
+      FROM r_faulty_pos GROUP BY 1 HAVING count(DISTINCT pos_name) > 1""",
     "name_id_conflicts": """SELECT pos_name AS key_value, count(DISTINCT pos_id) AS distinct_values,
       string_agg(DISTINCT pos_id, ' | ' ORDER BY pos_id) AS joined_values
-      FROM r_pos GROUP BY 1 HAVING count(DISTINCT pos_id) > 1""",
+      FROM r_faulty_pos GROUP BY 1 HAVING count(DISTINCT pos_id) > 1""",
     "store_id_conflicts": """SELECT pos_key AS key_value, count(DISTINCT pos_id) AS distinct_values,
       string_agg(DISTINCT pos_id, ' | ' ORDER BY pos_id) AS joined_values
       FROM t_clean_pos_sales GROUP BY 1 HAVING count(DISTINCT pos_id) > 1""",
@@ -603,7 +603,7 @@ SQL |= {
     "WHERE campaign_month <> month",
     "assert_predictions": "SELECT comment_id FROM t_comments_enriched "
     "WHERE language_model IS NULL OR theme_model IS NULL OR is_spam_model IS NULL",
-    "assert_multiplier": "SELECT segment, quantity FROM t_order_lines WHERE "
+    "assert_multiplier": "SELECT row_id, segment, quantity FROM t_faulty_lines WHERE "
     + _RULES["order_items", "written_multiplier"],
     "assert_range": _check_counts("budget_allocation"),
     "assert_identity": _check_counts("clean_pos_sales"),
@@ -642,6 +642,20 @@ SQL |= {
       computed_budget_fcfa / 15000000.0::DOUBLE AS proposed_share,
       'calculé' AS allocation_source FROM t_budget_computed""",
 }
+_FAULTY = {
+    "assert_entity_keys": {"t_clean_pos_sales": "t_faulty_pos"},
+    "assert_calendar_bounds": {"t_sales_calendar": "t_faulty_calendar"},
+    "assert_calendar_flags": {"t_sales_calendar": "t_faulty_calendar"},
+    "assert_mix_reconciles": {"t_product_mix_monthly": "t_faulty_mix"},
+    "assert_chat_amounts": {"t_chat_orders_monthly": "t_faulty_chat"},
+    "assert_budget_total": {"t_budget_recommendation": "t_faulty_budget"},
+    "assert_decided_channels": {"t_budget_recommendation": "t_faulty_budget"},
+}
+# The report checks the good tables; the queries of single checks, the damaged ones.
+_GOOD = {name: SQL[name] for name in _FAULTY}
+for _name, _tables in _FAULTY.items():
+    for _good, _bad in _tables.items():
+        SQL[_name] = SQL[_name].replace(_good, _bad)
 _RELATIONS = [
     ("unique_comment_id", "clean_comments", SQL["assert_unique"]),
     *[
@@ -650,13 +664,13 @@ _RELATIONS = [
                      ("pos_dimension", "pos_key"), ("product_dimension", "product_sku"),
                      ("chat_customers", "customer_key"), ("order_quality", "row_id")]
     ],
-    ("calendar_bounds", "sales_calendar", SQL["assert_calendar_bounds"]),
-    ("calendar_flags", "sales_calendar", SQL["assert_calendar_flags"]),
-    ("entity_keys", "clean_pos_sales", SQL["assert_entity_keys"]),
+    ("calendar_bounds", "sales_calendar", _GOOD["assert_calendar_bounds"]),
+    ("calendar_flags", "sales_calendar", _GOOD["assert_calendar_flags"]),
+    ("entity_keys", "clean_pos_sales", _GOOD["assert_entity_keys"]),
     ("mix_reconciles", "product_mix_monthly", _MIX),
-    ("amounts_reconcile", "chat_orders_monthly", SQL["assert_chat_amounts"]),
-    ("budget_total", "budget_recommendation", SQL["assert_budget_total"]),
-    ("decided_channels", "budget_recommendation", SQL["assert_decided_channels"]),
+    ("amounts_reconcile", "chat_orders_monthly", _GOOD["assert_chat_amounts"]),
+    ("budget_total", "budget_recommendation", _GOOD["assert_budget_total"]),
+    ("decided_channels", "budget_recommendation", _GOOD["assert_decided_channels"]),
 ]
 SQL["quality_report"] = (
     "SELECT *, violations = 0 AS passed FROM ("

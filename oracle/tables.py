@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from oracle.build import count_if, define, div, div_pos, isum, items, pct, text
+import re
+
+from oracle.build import CTES, count_if, define, div, div_pos, isum, items, pct, text
 from signals.functions import labels as lb
 from signals.functions.dates import MONTHS, MONTHS_PLAIN
 from signals.params import DECIDED_BUDGET
@@ -615,3 +617,63 @@ LEFT JOIN (VALUES {_DECIDED}) AS d(channel, amount) USING (channel)
 """,
 )
 
+
+# --- planted faults ----------------------------------------------------------------------
+def variant(name: str, source: str, **renamed: str) -> None:
+    """The table expression `source` under another name, reading other tables."""
+    sql = CTES[source]
+    for old, new in renamed.items():
+        sql = re.sub(rf"\b{old}\b", new, sql)
+    define(name, sql)
+
+
+define(
+    "r_faulty_pos",
+    """
+SELECT * FROM r_pos
+UNION ALL SELECT * REPLACE ('Kiosque du coin' AS pos_name) FROM r_pos WHERE units_sold = 13
+""",
+)
+variant("t_faulty_pos", "t_clean_pos_sales", r_pos="r_faulty_pos")
+define(
+    "r_faulty_orders",
+    """
+SELECT * FROM r_orders
+UNION ALL SELECT * REPLACE ('2 bissap 1L x3' AS items_text) FROM r_orders WHERE amount_fcfa IS NULL
+""",
+)
+variant("r_faulty_ids", "r_order_ids", r_orders="r_faulty_orders")
+variant("t_faulty_orders", "t_clean_chat_orders", r_order_ids="r_faulty_ids")
+variant("t_faulty_lines", "t_order_lines", t_clean_chat_orders="t_faulty_orders")
+define(
+    "t_faulty_calendar",
+    """
+SELECT * REPLACE (is_missing_sales_day <> (day(sale_date) = 1) AS is_missing_sales_day)
+FROM t_sales_calendar
+WHERE sale_date NOT IN (SELECT min(sale_date) FROM t_sales_calendar
+  UNION ALL SELECT max(sale_date) FROM t_sales_calendar)
+""",
+)
+define(
+    "t_faulty_mix",
+    """
+SELECT * REPLACE (CASE WHEN product = 'bissap' THEN net_units + 1 ELSE net_units END AS net_units)
+FROM t_product_mix_monthly
+""",
+)
+define(
+    "t_faulty_chat",
+    """
+SELECT * REPLACE (CASE WHEN month(month) IN (2, 4, 6, 8, 10, 12) THEN known_order_amount_fcfa + 1
+  ELSE known_order_amount_fcfa END AS known_order_amount_fcfa)
+FROM t_chat_orders_monthly
+""",
+)
+define(
+    "t_faulty_budget",
+    """
+SELECT * REPLACE (CASE WHEN channel = 'Meta' THEN proposed_budget_fcfa + 1000
+  ELSE proposed_budget_fcfa END AS proposed_budget_fcfa)
+FROM t_budget_recommendation WHERE channel NOT IN ('Radio', 'TikTok')
+""",
+)

@@ -32,17 +32,24 @@ def label_normalise(df: DataFrame, suffix: str) -> DataFrame:
     return out
 
 
-def require_unique(df: DataFrame, name: str) -> DataFrame:
-    repeated = df.groupBy("comment_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        raise ContractError(f"{name}: comment_id is not unique")
-    return df
+def one_per_key(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """`df`, refusing to be read when a key occurs twice.
+
+    The rows are counted per key in the aggregate that the join on the same keys needs to shuffle
+    anyway; no pass or action of its own.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    grouped = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"), F.count("*").alias("_n"))
+    told = F.concat(F.lit(f"{name}: rows are not unique: "), *[F.col(k).cast("string") for k in keys[:1]])
+    single = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))
+    return grouped.where(single).select(*keys, "_row.*")
 
 
 def prediction_vs_human(human: DataFrame, predictions: DataFrame) -> DataFrame:
     """One-to-one inner join on id and text, labels normalised, with match flags.
 
-    A NULL on either side is a mismatch, as it is in every count but the accuracy.
+    A NULL on either side is a mismatch, as it is in every count but the accuracy. A key that
+    occurs twice on either side fails the query.
     """
     left = label_normalise(human, "human").select(
         "comment_id", "comment_text", *[f"{f}_human" for f in FIELDS]
@@ -50,7 +57,8 @@ def prediction_vs_human(human: DataFrame, predictions: DataFrame) -> DataFrame:
     right = label_normalise(predictions, "model").select(
         "comment_id", "comment_text", *[f"{f}_model" for f in FIELDS]
     )
-    joined = left.join(right, ["comment_id", "comment_text"])
+    keys = ["comment_id", "comment_text"]
+    joined = one_per_key(left, keys, "human labels").join(one_per_key(right, keys, "predictions"), keys)
     match = [
         F.coalesce(F.col(f"{f}_human") == F.col(f"{f}_model"), F.lit(False)).alias(f"{f}_match")
         for f in FIELDS

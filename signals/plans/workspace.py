@@ -6,7 +6,10 @@ to the shared folder and read back, so their upstream work runs once.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame
 
@@ -37,12 +40,21 @@ class Workspace:
         self.predictions = predictions
         self.staged = staged
         self._built: dict[str, DataFrame] = {}
+        self._locks: dict[str, Lock] = defaultdict(Lock)
 
     def __call__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            table = getattr(self, f"_{name}")()
-            self._built[name] = stage(table) if name in self.staged else table
-        return self._built[name]
+        # One lock a table: tables only wait for tables they read, which never read them.
+        with self._locks[name]:
+            if name not in self._built:
+                table = getattr(self, f"_{name}")()
+                self._built[name] = stage(table) if name in self.staged else table
+            return self._built[name]
+
+    def stage_all(self, at_once: int = 6) -> None:
+        """Write the staged tables, side by side where they do not need each other: the jobs of
+        small tables leave most of a cluster idle."""
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(self, self.staged))
 
     def replace(self, name: str, table: DataFrame) -> None:
         """Use a written copy of a table from here on."""
@@ -50,7 +62,7 @@ class Workspace:
 
     @classmethod
     def names(cls) -> list[str]:
-        skip = {"_built"}
+        skip = {"_built", "_locks"}
         return [n[1:] for n in vars(cls) if n.startswith("_") and n[1] != "_" and n not in skip]
 
     def _clean_campaigns(self):
