@@ -1,20 +1,25 @@
 """Document fingerprints: invertible Bloom lookup sketches of hashed paragraphs, in DataFrame
 operations only.
 
-A text is cut into words at white space; where there is none (Chinese, Japanese, Thai, runs of more
-than `RUN` code points such as minified lines) every code point is a word. At level 0 each word is a
-paragraph, told apart by its predecessor. At every further level a paragraph ends where the hash of
-its last two words is a local minimum among its neighbours, or after `LONGEST` paragraphs of the
-level below, so an edit only changes the paragraphs near it and there are about a third as many a
-level. A text's class is the last level with at least `LEAST` distinct paragraphs, or 0: any text of
-`LEAST` different words has that many. Levels go on until one paragraph is left, so two texts of any
-lengths are compared at the class of the coarser one.
-
-Likeness is the share of paragraphs (of both texts together) that do not differ. The sets are at
-hand, so the difference is taken exactly; nothing is estimated. A fingerprint holds the sketches of
-the class and of the next level: three rows of cells, a paragraph's digest counted and XORed into
-one cell a row. Two sketches subtract cell by cell; peeling cells that hold one digest recovers the
-digests that differ. `difference` does so and takes the sets where peeling stops early.
+A text is cut into words at white space; where there is none (Chinese, Japanese, Thai) every code
+point is a word, and runs of more than 16 code points (minified lines) are cut after certain
+characters. A paragraph ends after a word where a hash of it and the word before it is a multiple of
+2^class, so an edit changes only the paragraphs it touches, and every word counts in one. The class
+is the largest that leaves some `LEAST` to twice as many distinct ends, or 0, where every word is a
+paragraph, told with the word before it. A paragraph's digest is a sum over its words modulo 2^27, so
+the paragraphs of a coarser class are sums of neighbouring ones, and two texts of any lengths are
+compared at the class of the coarser. A stored unit is a digest and the coarsest class that ends there.
+
+* Sketch. Three rows of cells; a digest is counted and XORed into one cell of each row.
+* Difference. The cells of one text are subtracted from those of the other, so that paragraphs in
+  both vanish. Peeling takes digests out of cells that hold a single one, row by row, each time
+  removing them from their other cells, and so recovers the paragraphs that differ. Cells are
+  rows, keyed by pair; a step of peeling is one aggregation, and none of them shuffles.
+* Retry. A sketch is as wide as the two sets are large. Pairs that do not peel clear are sketched
+  again, three times as wide, with other places; after `TRIES` their sets are compared directly.
+
+Likeness is one less the share of recovered paragraphs among those of both texts. A fingerprint
+holds the text's class and its sketches at that class and the next.
 
 The order of documents is numbered by ranges and offsets, never in one task. Each text is
 shuffled once, and the head of the next document, at most a third of a text, once.
@@ -27,21 +32,24 @@ document is its own next one. An empty table gives no rows. Other columns are no
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signals.llm.common import staged
 
 ROWS = 3
-FINE, COARSE = 48, 24  # cells in a row of each sketch
-ROUNDS = 14
-LEAST, LONGEST, RUN = 50, 8, 16
+FINE, COARSE = 48, 24  # cells in a row of each sketch of a fingerprint
+LEAST, RUN = 64, 16
+DIGEST = 1 << 27
+TRIES, STEPS = 3, 4
 UNSPACED = "".join(
     rf"\p{{Is{script}}}" for script in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
 )
+#: Ends of words within long runs: before these, no more than `RUN` code points from a white space.
+CUTS = "AEIOUaeiou0-4;,(){}=."
 SMALLEST = -(1 << 63)
-CELLS = "array<struct<n:int,x:bigint>>"
-UNITS = "array<bigint>"
 
 
 def let(value: Column, body) -> Column:
@@ -49,116 +57,97 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def packed(digest: Column) -> Column:
-    """48 bits of digest, 16 of its check."""
-    return let(F.shiftrightunsigned(digest, 16), lambda d: F.shiftleft(d, 16).bitwiseOR(_check(d)))
-
-
 def _check(digest: Column) -> Column:
     return F.xxhash64(digest).bitwiseAND(F.lit(0xFFFF).cast("long"))
 
 
-def words(text: Column) -> Column:
-    """Words at white space; code points where there is none."""
-    pieces = F.split(text, rf"\s+|(?<=[{UNSPACED}])|(?=[{UNSPACED}])")
-    each = F.transform(pieces, lambda w: F.when(F.length(w) > RUN, F.split(w, "")).otherwise(F.array(w)))
-    return F.filter(F.flatten(each), lambda w: w != "")
-
-
-def _ends(ranks: Column) -> Column:
-    """Positions (from 1) after which a paragraph ends: local minima, the last one, long runs cut."""
-    n = F.size(ranks)
-    low = F.filter(
-        F.sequence(F.lit(1), n),
-        lambda e: (e == n)
-        | ((F.get(ranks, e - 1) < F.coalesce(F.get(ranks, e - 2), F.lit(SMALLEST)))
-           & (F.get(ranks, e - 1) <= F.get(ranks, e))),
-    )
-
-    def short(ends: Column) -> Column:
-        def piece(e: Column, i: Column) -> Column:
-            before = F.coalesce(F.get(ends, i - 1), F.lit(0))
-            return F.when(
-                e - before > LONGEST,
-                F.concat(F.sequence(before + LONGEST, e - 1, F.lit(LONGEST)), F.array(e)),
-            ).otherwise(F.array(e))
-
-        return F.flatten(F.transform(ends, piece))
+def packed(digest: Column) -> Column:
+    """A digest, and 16 bits that tell it from the XOR of several."""
+    return F.shiftleft(digest.cast("long"), 16).bitwiseOR(_check(digest.cast("long")))
 
-    return let(low, short)
 
+def words(text: Column) -> Column:
+    """Words at white space; where there is none, code points or short runs."""
+    body = F.trim(text, F.lit(" \t\n\x0b\f\r"))
+    odd = body.rlike(rf"[{UNSPACED}]|\S{{{RUN + 1}}}")
+    ends = rf"\s+|(?<=[{UNSPACED}])|(?=[{UNSPACED}])|(?<=\S{{{RUN}}})(?<=[{CUTS}])(?=\S)"
+    pieces = F.when(odd, F.filter(F.split(body, ends), lambda w: w != "")).otherwise(F.split(body, r"\s+"))
+    return F.when(body == "", F.array().cast("array<string>")).otherwise(pieces)
 
-def _coarser(state: Column, level: Column) -> Column:
-    """The next level: keys of the last words, digests of the paragraphs, the sets so far."""
 
-    def cut(ends: Column, keys: Column, digests: Column) -> Column:
-        def one(end: Column, i: Column) -> Column:
-            before = F.coalesce(F.get(ends, i - 1), F.lit(0))
-            return packed(F.xxhash64(F.slice(digests, before + 1, end - before)))
+def _sums(values: Column, ends: Column, part) -> Column:
+    """Per end (a position from 1): the sum of `part` of the values after the end before it."""
 
-        return let(
-            F.transform(ends, one),
-            lambda made: F.struct(
-                F.transform(ends, lambda e: F.get(keys, e - 1)).alias("keys"),
-                made.alias("digests"),
-                F.concat(state["sets"], F.array(F.array_distinct(made))).alias("sets"),
-            ),
+    def one(end: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(ends, i - 1), F.lit(0))
+        total = F.aggregate(
+            F.slice(values, before + 1, end - before), F.lit(0).cast("long"), lambda t, v: t + part(v)
         )
+        return total.bitwiseAND(F.lit(DIGEST - 1).cast("long"))
 
-    ranks = F.transform(state["keys"], lambda k: F.xxhash64(k, level))
-    return F.when(F.size(state["keys"]) <= 1, state).otherwise(
-        let(let(ranks, _ends), lambda ends: cut(ends, state["keys"], state["digests"]))
-    )
+    return F.transform(ends, one)
 
 
-def sketch_units(text: Column) -> Column:
-    """Struct of a text's class and its distinct packed digests at that level and all above."""
+def _positions(values: Column, ends_at) -> Column:
+    """Positions from 1 of the values that end a paragraph; the last one always does."""
+    n = F.size(values)
+    found = F.filter(F.sequence(F.lit(1), n), lambda e: (e == n) | ends_at(F.get(values, e - 1)))
+    return F.when(n > 0, found).otherwise(F.array().cast("array<int>"))
 
-    def levels(found: Column) -> Column:
-        keys = F.transform(found, lambda w, i: F.xxhash64(F.get(found, i - 1), w))
 
-        def all_levels(k: Column) -> Column:
-            start = F.struct(
-                k.alias("keys"),
-                F.transform(found, lambda w: F.xxhash64(w)).alias("digests"),
-                F.array(F.array_distinct(F.transform(k, packed))).alias("sets"),
-            )
-            most = F.ceil(F.log2(F.size(k) + 1.0)).cast("int") + 1  # a level at least halves
-            return F.aggregate(F.sequence(F.lit(1), most), start, _coarser, lambda s: s["sets"])
+def _digest(unit: Column) -> Column:
+    return F.shiftright(unit.cast("long") + (1 << 31), 5)
 
-        return let(keys, all_levels)
 
-    def at_class(sets: Column) -> Column:
-        full = F.filter(F.sequence(F.lit(0), F.size(sets) - 1), lambda i: F.size(F.get(sets, i)) >= LEAST)
-        return let(
-            F.coalesce(F.array_max(full), F.lit(0)),
-            lambda c: F.struct(c.alias("grain"), F.slice(sets, c + 1, F.size(sets)).alias("levels")),
-        )
+def _coarsest(unit: Column) -> Column:
+    """The coarsest class in which a unit still ends a paragraph."""
+    return (unit.cast("long") + (1 << 31)).bitwiseAND(F.lit(31).cast("long"))
 
-    return let(let(words(text), levels), at_class)
 
+def sketch_units(text: Column) -> Column:
+    """Struct of a text's class (grain) and its paragraphs in order (units)."""
+
+    def hashes(found: Column) -> Column:
+        return F.transform(found, lambda w, i: F.xxhash64(F.get(found, i - 1), w))
+
+    def cut(pairs: Column) -> Column:
+        distinct = F.greatest(F.size(F.array_distinct(pairs)), F.lit(1))
+        grain = F.least(F.lit(30), F.greatest(F.lit(0), F.floor(F.log2(distinct / float(LEAST))))).cast("int")
+        return let(grain, lambda g: F.struct(g.alias("grain"), units(pairs, g).alias("units")))
+
+    def units(pairs: Column, grain: Column) -> Column:
+        mask = (F.pow(F.lit(2.0), grain) - 1).cast("long")
+        low = lambda h: F.shiftrightunsigned(h, 1)
+        n = F.size(pairs)
+
+        def coarsest(end: Column) -> Column:
+            h = low(F.get(pairs, end - 1))
+            zeros = F.log2(h.bitwiseAND(-h)).cast("int")
+            return F.when(end == n, 31).otherwise(F.coalesce(F.least(zeros, F.lit(30)), F.lit(30)))
+
+        def packed_units(ends: Column) -> Column:
+            return F.zip_with(
+                _sums(pairs, ends, lambda h: F.shiftrightunsigned(h, 37)),
+                ends,
+                lambda total, end: (F.shiftleft(total, 5) + coarsest(end) - (1 << 31)).cast("int"),
+            )
 
-def level(units: Column, c: Column) -> Column:
-    """The paragraphs at class `c` or above; the last level holds the whole text as one."""
-    return F.get(units["levels"], F.least(c - units["grain"], F.size(units["levels"]) - 1))
+        return let(_positions(pairs, lambda h: low(h).bitwiseAND(mask) == 0), packed_units)
 
+    return let(let(words(text), hashes), cut)
 
-def _places(x: Column, width: int) -> list[Column]:
-    """A digest's cell in each row."""
-    return [F.pmod(F.xxhash64(x, F.lit(r)), F.lit(width)).cast("int") + r * width for r in range(ROWS)]
 
+def level(text: Column, grain: Column) -> Column:
+    """Distinct digests of a text's paragraphs at its own class or a coarser one."""
 
-def _toggle(cells: Column, x: Column, sign: Column, width: int) -> Column:
-    def change(place: Column) -> Column:
-        return F.transform(
-            cells,
-            lambda c, i: F.when(
-                F.array_contains(place, i),
-                F.struct((c["n"] + sign).alias("n"), c["x"].bitwiseXOR(x).alias("x")),
-            ).otherwise(c),
+    def coarser(units: Column) -> Column:
+        return let(
+            _positions(units, lambda u: _coarsest(u) >= grain), lambda ends: _sums(units, ends, _digest)
         )
 
-    return let(F.array(*_places(x, width)), change)
+    own = F.transform(text["units"], _digest)
+    digests = F.when(text["grain"] >= grain, own).otherwise(coarser(text["units"]))
+    return F.array_distinct(F.transform(digests, lambda d: d.cast("int")))
 
 
 def sketch(units: Column, width: int) -> Column:
@@ -196,63 +185,94 @@ def sketch(units: Column, width: int) -> Column:
     return F.concat(*(row(r) for r in range(ROWS)))
 
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(
-        a,
-        b,
-        lambda p, q: F.struct((p["n"] - q["n"]).alias("n"), p["x"].bitwiseXOR(q["x"]).alias("x")),
-    )
-
-
-def peel(cells: Column, width: int, rounds: int) -> Column:
-    """Struct of the cells that are left and the digests recovered."""
-
-    def pure(c: Column) -> Column:
-        right = _check(F.shiftrightunsigned(c["x"], 16)) == c["x"].bitwiseAND(F.lit(0xFFFF).cast("long"))
-        return (F.abs(c["n"]) == 1) & right
+def _places(digest: Column, width: Column, salt: int) -> list[Column]:
+    """A packed digest's cell in each row."""
+    return [(F.pmod(F.xxhash64(digest, F.lit(salt + r)), width) + r * width).cast("int") for r in range(ROWS)]
 
-    def step(state: Column, _: Column) -> Column:
-        def remove(found: Column) -> Column:
-            return F.struct(
-                F.aggregate(
-                    found, state["cells"], lambda cs, c: _toggle(cs, c["x"], -c["n"], width)
-                ).alias("cells"),
-                F.array_union(state["found"], F.transform(found, lambda c: c["x"])).alias("found"),
-            )
-
-        return let(F.array_distinct(F.filter(state["cells"], pure)), remove)
 
-    start = F.struct(cells.alias("cells"), F.array().cast(UNITS).alias("found"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
+def subtracted(pairs: DataFrame, keys: list[str], wider: int, salt: int) -> DataFrame:
+    """Cells (cell, n, x) of the sketch of `a` less that of `b`, empty ones left out, per pair.
 
-
-def set_difference(a: Column, b: Column) -> Column:
-    return F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
+    `pairs` is clustered by `keys`, or by some of them, so this and what follows only aggregates.
+    """
+    both = F.size("a") + F.size("b")
+    width = F.ceil(both * 1.6 / 48.0) * (16 * wider)
+    placed = pairs.select(
+        *keys, width.cast("long").alias("width"), F.size("a").alias("of_a"),
+        F.posexplode(F.concat("a", "b")).alias("at", "digest"),
+    ).select(
+        *keys, "width", F.when(F.col("at") < F.col("of_a"), 1).otherwise(-1).alias("n"),
+        packed(F.col("digest")).alias("x"),
+    )
+    cells = [
+        F.struct(place.alias("cell"), "n", "x") for place in _places(F.col("x"), F.col("width"), salt)
+    ]
+    return _summed(placed.select(*keys, "width", F.inline(F.array(*cells))), keys)
 
 
-def difference(a: Column, b: Column, cells: Column, width: int) -> Column:
-    """How many digests differ: peeled from subtracted cells, or from the sets if that stops early."""
-    clear = lambda s: F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["x"] == 0))
-    return let(
-        peel(cells, width, ROUNDS),
-        lambda s: F.when(clear(s), F.size(s["found"])).otherwise(set_difference(a, b)),
+def _summed(cells: DataFrame, keys: list[str]) -> DataFrame:
+    return (
+        cells.groupBy(*keys, "width", "cell")
+        .agg(F.sum("n").cast("int").alias("n"), F.bit_xor("x").alias("x"))
+        .where("n != 0 or x != 0")
     )
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Of two texts, as structs of class and paragraphs; 0 to 1."""
-
-    def share(x: Column, y: Column) -> Column:
-        total = F.size(x) + F.size(y)
-        return F.when(total == 0, F.lit(1.0)).otherwise(1.0 - set_difference(x, y).cast("double") / total)
-
-    def at(c: Column) -> Column:
-        return let(level(a, c), lambda x: let(level(b, c), lambda y: share(x, y)))
+def peeled(cells: DataFrame, keys: list[str], salt: int, steps: int = STEPS) -> DataFrame:
+    """Recovered digests (negative `cell`) and whatever cells are left (others), per pair.
 
-    return let(F.greatest(a["grain"], b["grain"]), at)
-
-
-def fingerprint(units: Column) -> Column:
+    A digest is in one cell of a row, so taking the single ones of one row takes none twice.
+    """
+    for step in range(steps * ROWS):
+        row = step % ROWS
+        x, n, cell, width = F.col("x"), F.col("n"), F.col("cell"), F.col("width")
+        digest = F.shiftright(x, 16)
+        single = (
+            (cell >= row * width) & (cell < (row + 1) * width) & (F.abs(n) == 1)
+            & (_check(digest) == x.bitwiseAND(F.lit(0xFFFF).cast("long")))
+        )
+        places = _places(x, width, salt)
+        taken = [
+            F.struct(places[r].alias("cell"), (-n).alias("n"), "x") for r in range(ROWS) if r != row
+        ]
+        found = F.struct((-(1 + step * ROWS * width + cell)).cast("int").alias("cell"), "n", "x")
+        itself = F.array(F.struct("cell", "n", "x"))
+        cells = _summed(
+            cells.select(
+                *keys, "width", F.inline(F.when(single, F.array(*taken, found)).otherwise(itself))
+            ),
+            keys,
+        )
+    return cells
+
+
+def differences(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """How many digests differ between `a` and `b` of each pair that is not equal: keys,
+    differing, tried (sketches taken; `TRIES` + 1 where the sets were compared instead)."""
+    done: list[DataFrame] = []
+    todo = pairs
+    for tried in range(1, TRIES + 1):
+        salt = 100 * tried
+        cells = peeled(subtracted(todo, keys, 3 ** (tried - 1), salt), keys, salt)
+        result = staged(
+            cells.groupBy(keys).agg(
+                F.count_if(F.col("cell") < 0).cast("int").alias("differing"),
+                F.count_if(F.col("cell") >= 0).alias("left"),
+            ),
+            f"peeled-{tried}",
+        )
+        done.append(result.where("left = 0").select(*keys, "differing", F.lit(tried).alias("tried")))
+        failed = result.where("left > 0").select(keys)
+        if failed.isEmpty():
+            break
+        todo = pairs.join(failed, keys)
+    else:
+        exact = F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a"))
+        done.append(todo.select(*keys, exact.alias("differing"), F.lit(TRIES + 1).alias("tried")))
+    return functools.reduce(DataFrame.unionByName, done)
+
+
+def fingerprint(text: Column) -> Column:
     """Class and both sketches as text: base64 of a count byte and eight digest bytes a cell."""
 
     def coded(cells: Column) -> Column:
@@ -262,9 +282,11 @@ def fingerprint(units: Column) -> Column:
         )
         return F.base64(F.unhex(F.array_join(hexes, "")))
 
-    fine, coarse = level(units, units["grain"]), level(units, units["grain"] + 1)
+    def sketched(grain: Column, width: int) -> Column:
+        return coded(let(F.transform(level(text, grain), packed), lambda u: sketch(u, width)))
+
     return F.concat_ws(
-        ":", units["grain"].cast("string"), coded(sketch(fine, FINE)), coded(sketch(coarse, COARSE))
+        ":", text["grain"].cast("string"), sketched(text["grain"], FINE), sketched(text["grain"] + 1, COARSE)
     )
 
 
@@ -302,7 +324,8 @@ def neighbours(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def compare_with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per row: id, n_chars, edited_sha256, units, edited units, next document's units."""
+    """Per row: id, version, copies, the document before it (last_id, last_version), n_chars,
+    edited_sha256 and the kept paragraphs of text and edited text."""
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(SMALLEST)).alias("id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"),
@@ -322,26 +345,58 @@ def compare_with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     edited = F.concat(F.expr("substring(text, 1, length(text) - CAST(floor(length(text) / 3) AS INT))"), "head")
     rows = (
         texts.join(heads, ["id", "version"])
-        .select("id", "version", "next_id", "next_version", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
         .select(
-            "id", "version", "next_id", "next_version", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-            sketch_units(F.col("text")).alias("units"), sketch_units(F.col("edited")).alias("edited_units"),
+            "id", "version", "copies", "last_id", "last_version", n.cast("long").alias("n_chars"), "text",
+            edited.alias("edited"),
+        )
+        .select(
+            "id", "version", "copies", "last_id", "last_version", "n_chars",
+            F.sha2("edited", 256).alias("edited_sha256"),
+            sketch_units(F.col("text")).alias("text_units"), sketch_units(F.col("edited")).alias("edited_units"),
         )
     )
-    made = staged(rows, "paragraph-digests")
-    after = made.select(
-        F.col("id").alias("next_id"), F.col("version").alias("next_version"), F.col("units").alias("next_units")
-    ).dropDuplicates(["next_id", "next_version"])
-    return made.join(after, ["next_id", "next_version"])
+    return staged(rows, "paragraph-digests")
+
+
+def likenesses(made: DataFrame) -> DataFrame:
+    """Per document (id, version): near_edited, near_next and whether both peeled (`tries`)."""
+    key = ["id", "version"]
+    once = made.where("copies = 1").unionByName(made.where("copies > 1").dropDuplicates(key))
+    following = once.select(
+        F.col("last_id").alias("id"), F.col("last_version").alias("version"), F.col("text_units").alias("next_units")
+    )
+    text, edited, after = F.col("text_units"), F.col("edited_units"), F.col("next_units")
+
+    def pair(kind: int, other: Column) -> Column:
+        grain = F.greatest(text["grain"], other["grain"])
+        return F.struct(
+            F.lit(kind).alias("kind"), level(text, grain).alias("a"), level(other, grain).alias("b")
+        )
+
+    pairs = (
+        once.select(*key, "text_units", "edited_units")
+        .join(following, key)
+        .select(*key, F.inline(F.array(pair(0, edited), pair(1, after))))
+    )
+    sized = pairs.withColumn("total", F.size("a") + F.size("b"))
+    found = differences(sized, [*key, "kind", "total"])
+    near = 1.0 - F.col("differing") / F.col("total")
+    return found.groupBy(key).agg(
+        F.max(F.when(F.col("kind") == 0, near)).alias("near_edited"),
+        F.max(F.when(F.col("kind") == 1, near)).alias("near_next"),
+        F.max("tried").alias("tries"),
+    )
 
 
 def op4(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    return compare_with_next(spark, docs).select(
+    made = compare_with_next(spark, docs)
+    # Pairs of equal sets leave no cell and no row here: they are alike.
+    return made.join(likenesses(made), ["id", "version"], "left").select(
         F.when(F.col("id") != SMALLEST, F.col("id")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
-        fingerprint(F.col("units")).alias("fingerprint"),
+        fingerprint(F.col("text_units")).alias("fingerprint"),
         fingerprint(F.col("edited_units")).alias("edited_fingerprint"),
-        likeness(F.col("units"), F.col("edited_units")).alias("near_edited"),
-        likeness(F.col("units"), F.col("next_units")).alias("near_next"),
+        F.coalesce("near_edited", F.lit(1.0)).alias("near_edited"),
+        F.coalesce("near_next", F.lit(1.0)).alias("near_next"),
     )

@@ -69,32 +69,51 @@ def test_fingerprints_of_ties_nulls_one_row_and_none(spark):
     assert fingerprint.op4(spark, documents(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("changed", [0, 1, 4, 9, 16])
-def test_peeling_recovers_the_differing_digests(spark, changed):
-    """First sketch or retry, the peeled count is the true symmetric difference."""
-    df = spark.range(30).select(
-        *(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(15)),
-                lambda i: F.struct(
-                    F.shiftrightunsigned(F.xxhash64("id", i, F.when(i < changed, F.lit(side)).otherwise(0)), 16).alias("d")
-                ),
-            ).alias(name)
-            for name, side in (("a", 1), ("b", 2))
-        )
-    )
-    packed = lambda c: F.transform(
-        c, lambda s: F.shiftleft(s["d"], 16).bitwiseOR(F.xxhash64(s["d"]).bitwiseAND(F.lit(0xFFFF).cast("long")))
-    )
-    both = df.select(packed(F.col("a")).alias("a"), packed(F.col("b")).alias("b"))
-    a, b, width = F.col("a"), F.col("b"), fingerprint.FINE
-    cells = fingerprint.subtract(fingerprint.sketch(a, width), fingerprint.sketch(b, width))
-    rows = both.select(
-        fingerprint.difference(a, b, cells, width).alias("found"),
-        (F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))).alias("true"),
-    ).collect()
-    assert all(r.true == 2 * changed for r in rows)
-    assert [r.found for r in rows] == [r.true for r in rows]
+def digest_pairs(spark, sizes, partitions=2):
+    """Pairs of digest sets: (shared, only in a, only in b) of each."""
+    rng, rows = random.Random(3), []
+    for i, (shared, left, right) in enumerate(sizes):
+        found = rng.sample(range(-(1 << 31), 1 << 31), shared + left + right)
+        rows.append((i, found[: shared + left], found[:shared] + found[shared + left :]))
+    return spark.createDataFrame(rows, "id int, a array<int>, b array<int>").repartition(partitions, "id")
+
+
+def test_peeling_recovers_the_differing_digests(spark):
+    """The peeled count is the true symmetric difference, for sets of any size."""
+    sizes = [(0, 0, 0), (50, 0, 0), (50, 1, 0), (0, 1, 0), (60, 4, 5), (60, 30, 30), (0, 100, 100), (3, 0, 900)]
+    sizes += [(i % 7, i, 2 * i) for i in range(1, 60)]
+    pairs = digest_pairs(spark, sizes)
+    got = {r.id: (r.differing, r.tried) for r in fingerprint.differences(pairs, ["id"]).collect()}
+    wanted = {i: left + right for i, (_, left, right) in enumerate(sizes) if left + right}
+    assert {i: n for i, (n, _) in got.items()} == wanted
+    assert all(tried <= fingerprint.TRIES for _, tried in got.values())
+    cells = fingerprint.subtracted(pairs, ["id"], 1, 100)
+    digests = {}
+    for r in fingerprint.peeled(cells, ["id"], 100).where("cell < 0").collect():
+        digests.setdefault(r.id, set()).add((r.x >> 16, r.n))
+    for r in pairs.collect():
+        if got.get(r.id, (0, 2))[1] == 1:
+            a, b = set(r.a), set(r.b)
+            assert digests[r.id] == {(x, 1) for x in a - b} | {(x, -1) for x in b - a}
+
+
+def test_narrow_sketches_are_retried_larger_and_at_last_compared(spark, monkeypatch):
+    sizes = [(10, 5, 5), (0, 60, 60), (5, 300, 300)]
+    pairs, true = digest_pairs(spark, sizes), {0: 10, 1: 120, 2: 600}
+    monkeypatch.setattr(fingerprint, "STEPS", 1)
+    once = fingerprint.subtracted(pairs, ["id"], 1, 100)
+    assert fingerprint.peeled(once, ["id"], 100, 1).where("cell >= 0").count() > 0
+    assert {r.id: r.differing for r in fingerprint.differences(pairs, ["id"]).collect()} == true
+    monkeypatch.setattr(fingerprint, "peeled", lambda cells, keys, salt: cells.withColumn("cell", F.abs("cell")))
+    got = {r.id: (r.differing, r.tried) for r in fingerprint.differences(pairs, ["id"]).collect()}
+    assert got == {i: (n, fingerprint.TRIES + 1) for i, n in true.items()}
+
+
+def test_peeling_needs_no_shuffle(spark):
+    pairs = digest_pairs(spark, [(5, 2, 2)] * 4)
+    made = fingerprint.peeled(fingerprint.subtracted(pairs, ["id"], 1, 1), ["id"], 1).groupBy("id").count()
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Python" not in plan
 
 
 def dice(a, b):
@@ -129,8 +148,8 @@ def test_paragraphs_are_enough_whatever_the_text(spark):
     cut = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(
         "i", fingerprint.sketch_units(F.col("text")).alias("u")
     ).orderBy("i").collect()
-    assert all(50 <= len(r.u.levels[0]) <= 400 for r in cut[:4])
-    assert all(len(r.u.levels[-1]) == 1 for r in cut) and [r.u.grain for r in cut[:2]] == [0, 0]
+    assert all(50 <= len(r.u.units) <= 400 for r in cut[:4]) and len({u >> 5 for u in cut[4].u.units}) == 2
+    assert [r.u.grain for r in cut[:2]] == [0, 0] and cut[3].u.grain > 5
     near = [(10, texts[2]), (9, texts[2][:1000] + "x" + texts[2][1000:]), (8, texts[1]), (7, texts[1][5:])]
     near += [(6, texts[3]), (5, texts[3][: len(texts[3]) // 2]), (4, texts[4]), (3, texts[4] * 3)]
     near += [(2, texts[3]), (1, texts[0])]
