@@ -448,7 +448,9 @@ def keep_one(docs: DataFrame, rule: Rule) -> DataFrame:
         "near-duplicate-marks",
     )
     mine = F.xxhash64(F.coalesce(docs.doc_id.cast("string"), F.lit("null")), F.coalesce(docs.text, F.lit("")))
-    kept = docs.join(marks, mine == marks["mark"], "left_anti")
-    twice = docs.join(marks.where("stays"), mine == marks["mark"])
-    once = twice.groupBy("mark").agg(F.first(F.struct(*(docs[c] for c in docs.columns))).alias("row"))
+    # Whole rows in one column: their own names meet no others.
+    rows = docs.select(mine.alias("own_mark"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    kept = rows.join(marks, rows["own_mark"] == marks["mark"], "left_anti").select("row.*")
+    twice = rows.join(marks.where("stays"), rows["own_mark"] == marks["mark"])
+    once = twice.groupBy("mark").agg(F.first("row").alias("row"))
     return kept.unionByName(once.select("row.*"))

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,19 @@ from signals.llm.common import fresh_path
 from signals.llm.tokens import vocabulary_path, worker_encoder
 
 FILE_SCHEMA = "doc_id long, part int, start_in_part long, n_tokens long, tokens array<int>"
-ROWS_PER_BATCH = 128
+#: Text encoded at once; a longer one is encoded alone.
+SLICE_BYTES = 8 << 20
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with up to `SLICE_BYTES` of text (the second column), or one row."""
+    size = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy())
+    first = 0
+    while first < batch.num_rows:
+        before = size[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(size, before + SLICE_BYTES, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
 
 
 def _encode_part(path: str, end_id: int):
@@ -33,12 +46,9 @@ def _encode_part(path: str, end_id: int):
         part = TaskContext.get().partitionId()
         start = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_PER_BATCH):
-                piece = batch.slice(at, ROWS_PER_BATCH)
-                coded = [encoder.encode(t.as_py()) for t in piece.column(1)]
-                counts = np.array([len(c) // 4 for c in coded], dtype=np.int64)
+            for piece in slices(batch):
+                counts, ids = encoder.encode_column(piece.column(1))
                 ends = np.cumsum(counts)
-                values = np.frombuffer(b"".join(coded), dtype="<i4")
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -46,7 +56,7 @@ def _encode_part(path: str, end_id: int):
                         pa.array(np.full(len(counts), part, dtype=np.int32)),
                         pa.array(start + ends - counts),
                         pa.array(counts),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.view("<i4"))),
                     ],
                     names=["doc_id", "part", "start_in_part", "n_tokens", "tokens"],
                 )

@@ -13,6 +13,10 @@ import functools
 import re
 import struct
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Characters that are composed already and whose small letters are single characters.
 PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 RUN = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
@@ -89,6 +93,28 @@ class WordEncoder:
         return b"".join(map(self.words.__getitem__, words)) + self.end
 
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each text of a column (null: empty), the end id last: counts, and all ids.
+
+        Words are cut and made distinct by Arrow, so each is looked up once a column, and the ids
+        of all words are gathered at once.
+        """
+        lines = pc.replace_substring(texts.fill_null(""), pattern="\n", replacement=" ")
+        lists = pc.split_pattern(lines, pattern=" ")
+        coded = lists.values.dictionary_encode()
+        pieces = [self.words[w] for w in coded.dictionary.to_pylist()]
+        pieces.append(self.end)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) >> 2
+        known = np.frombuffer(b"".join(pieces), dtype="<u4")
+        ends = lists.offsets.to_numpy()[1:]
+        word = np.insert(coded.indices.to_numpy(), ends, len(pieces) - 1)
+        n = size[word]
+        stop = np.cumsum(n)
+        first = (np.cumsum(size) - size)[word] - (stop - n)
+        ids = known[np.repeat(first, n) + np.arange(stop[-1] if len(stop) else 0)]
+        return np.diff(stop[ends + np.arange(len(ends))], prepend=0), ids
+
+
 @functools.lru_cache(maxsize=2)
 def worker_encoder(path: str, end_id: int) -> WordEncoder:
     """One per Python worker: later tasks in it find the words of earlier ones."""

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import functools
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,3 +119,24 @@ def test_little_padding(spark):
     used = pieces.groupBy("sequence_id").sum("length").collect()
     total = sum(r[1] for r in used)
     assert len(used) * 2048 - total < 0.03 * total
+
+
+def test_columns_encode_like_single_texts(monkeypatch):
+    rng = random.Random(8)
+    texts = [None, "", " ", "\n", "a", "Élan vital\n\nx  y", "漢字 ab", "tab\there"] + [
+        "".join(rng.choice("ab é漢😀.\n -1") for _ in range(rng.randrange(60))) for _ in range(200)
+    ]
+    encoder = WordEncoder(vocabulary_path(), 1)
+    column = pa.array(texts, pa.string())
+    counts, ids = encoder.encode_column(column)
+    assert ids.astype("<u4").tobytes() == b"".join(encoder.encode(t) for t in texts)
+    assert counts.tolist() == [len(encoder.encode(t)) // 4 for t in texts]
+    counts, ids = encoder.encode_column(column.slice(5, 3))
+    assert ids.astype("<u4").tobytes() == b"".join(encoder.encode(t) for t in texts[5:8])
+    assert [len(x) for x in encoder.encode_column(column.slice(0, 0))] == [0, 0]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), column], names=["i", "t"])
+    for size in (1, 50, 10**6):
+        monkeypatch.setattr(token_output, "SLICE_BYTES", size)
+        cut = list(token_output.slices(batch))
+        assert pa.Table.from_batches(cut) == pa.Table.from_batches([batch])
+    assert len(cut) == 1 and not list(token_output.slices(batch.slice(0, 0)))
