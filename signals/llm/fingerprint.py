@@ -44,8 +44,12 @@ FINE, COARSE = 48, 24  # cells in a row of each sketch of a fingerprint
 LEAST, RUN = 64, 16
 DIGEST = 1 << 27
 TRIES, STEPS = 3, 4
-UNSPACED = "".join(
-    rf"\p{{Is{script}}}" for script in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
+#: Blocks of scripts written without spaces (Thai to Myanmar, Khmer, Han, kana and their
+#: extensions). The first condition keeps other characters from being held against each block.
+UNSPACED = (
+    r"[\x{0E00}-\x{10FFFF}&&[\x{0E00}-\x{109F}\x{1780}-\x{17FF}\x{19E0}-\x{19FF}\x{2E80}-\x{2FDF}"
+    r"\x{3005}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{9FFF}\x{A9E0}-\x{A9FF}\x{AA60}-\x{AA7F}\x{F900}-\x{FAFF}"
+    r"\x{FF66}-\x{FF9F}\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}]]"
 )
 #: Ends of words within long runs: before these, no more than `RUN` code points from a white space.
 CUTS = "AEIOUaeiou0-4;,(){}=."
@@ -69,8 +73,8 @@ def packed(digest: Column) -> Column:
 def words(text: Column) -> Column:
     """Words at white space; where there is none, code points or short runs."""
     body = F.trim(text, F.lit(" \t\n\x0b\f\r"))
-    odd = body.rlike(rf"[{UNSPACED}]|\S{{{RUN + 1}}}")
-    ends = rf"\s+|(?<=[{UNSPACED}])|(?=[{UNSPACED}])|(?<=\S{{{RUN}}})(?<=[{CUTS}])(?=\S)"
+    odd = body.rlike(rf"{UNSPACED}|(?<!\S)\S{{{RUN + 1}}}")
+    ends = rf"\s+|(?<={UNSPACED})|(?={UNSPACED})|(?<=\S{{{RUN}}})(?<=[{CUTS}])(?=\S)"
     pieces = F.when(odd, F.filter(F.split(body, ends), lambda w: w != "")).otherwise(F.split(body, r"\s+"))
     return F.when(body == "", F.array().cast("array<string>")).otherwise(pieces)
 
@@ -150,41 +154,6 @@ def level(text: Column, grain: Column) -> Column:
     return F.array_distinct(F.transform(digests, lambda d: d.cast("int")))
 
 
-def sketch(units: Column, width: int) -> Column:
-    """Cells (n, x) of a set of digests, `width` in each row."""
-    part = 8  # cells that share one look through the digests
-    nothing = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("x"))
-
-    def row(r: int) -> Column:
-        placed = F.transform(
-            units, lambda x: F.struct(F.pmod(F.xxhash64(x, F.lit(r)), F.lit(width)).cast("int").alias("at"), x.alias("x"))
-        )
-
-        def some(all_: Column, first: Column) -> Column:
-            def cells(few: Column) -> Column:
-                def cell(at: Column) -> Column:
-                    return F.aggregate(
-                        few, nothing,
-                        lambda c, p: F.when(
-                            p["at"] == at,
-                            F.struct((c["n"] + 1).alias("n"), c["x"].bitwiseXOR(p["x"]).alias("x")),
-                        ).otherwise(c),
-                    )
-
-                return F.transform(F.sequence(first, first + part - 1), cell)
-
-            return let(F.filter(all_, lambda p: (p["at"] >= first) & (p["at"] < first + part)), cells)
-
-        return let(
-            placed,
-            lambda all_: F.flatten(
-                F.transform(F.sequence(F.lit(0), F.lit(width - part), F.lit(part)), lambda first: some(all_, first))
-            ),
-        )
-
-    return F.concat(*(row(r) for r in range(ROWS)))
-
-
 def _places(digest: Column, width: Column, salt: int) -> list[Column]:
     """A packed digest's cell in each row."""
     return [(F.pmod(F.xxhash64(digest, F.lit(salt + r)), width) + r * width).cast("int") for r in range(ROWS)]
@@ -218,10 +187,13 @@ def _summed(cells: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def peeled(cells: DataFrame, keys: list[str], salt: int, steps: int = STEPS) -> DataFrame:
+def peeled(
+    cells: DataFrame, keys: list[str], salt: int, steps: int = STEPS, digests: bool = True
+) -> DataFrame:
     """Recovered digests (negative `cell`) and whatever cells are left (others), per pair.
 
     A digest is in one cell of a row, so taking the single ones of one row takes none twice.
+    Without `digests`, one line per pair counts the recovered ones instead (cell -1, n).
     """
     for step in range(steps * ROWS):
         row = step % ROWS
@@ -235,7 +207,10 @@ def peeled(cells: DataFrame, keys: list[str], salt: int, steps: int = STEPS) ->
         taken = [
             F.struct(places[r].alias("cell"), (-n).alias("n"), "x") for r in range(ROWS) if r != row
         ]
-        found = F.struct((-(1 + step * ROWS * width + cell)).cast("int").alias("cell"), "n", "x")
+        if digests:
+            found = F.struct((-(1 + step * ROWS * width + cell)).cast("int").alias("cell"), "n", "x")
+        else:
+            found = F.struct(F.lit(-1).alias("cell"), F.lit(1).alias("n"), F.lit(0).cast("long").alias("x"))
         itself = F.array(F.struct("cell", "n", "x"))
         cells = _summed(
             cells.select(
@@ -253,10 +228,10 @@ def differences(pairs: DataFrame, keys: list[str]) -> DataFrame:
     todo = pairs
     for tried in range(1, TRIES + 1):
         salt = 100 * tried
-        cells = peeled(subtracted(todo, keys, 3 ** (tried - 1), salt), keys, salt)
+        cells = peeled(subtracted(todo, keys, 3 ** (tried - 1), salt), keys, salt, digests=False)
         result = staged(
             cells.groupBy(keys).agg(
-                F.count_if(F.col("cell") < 0).cast("int").alias("differing"),
+                F.coalesce(F.sum(F.when(F.col("cell") < 0, F.col("n"))), F.lit(0)).cast("int").alias("differing"),
                 F.count_if(F.col("cell") >= 0).alias("left"),
             ),
             f"peeled-{tried}",
@@ -272,21 +247,37 @@ def differences(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, done)
 
 
-def fingerprint(text: Column) -> Column:
-    """Class and both sketches as text: base64 of a count byte and eight digest bytes a cell."""
-
-    def coded(cells: Column) -> Column:
-        hexes = F.transform(
-            cells,
-            lambda c: F.concat(F.lpad(F.hex(F.pmod(c["n"], F.lit(256))), 2, "0"), F.lpad(F.hex(c["x"]), 16, "0")),
-        )
-        return F.base64(F.unhex(F.array_join(hexes, "")))
+def fingerprints(made: DataFrame) -> DataFrame:
+    """Per document (id, version): fingerprint and edited_fingerprint, each a class and its sketches
+    as text: of every cell that is not empty its place, count and XOR."""
+    keys = ["id", "version", "kind", "grain"]
 
-    def sketched(grain: Column, width: int) -> Column:
-        return coded(let(F.transform(level(text, grain), packed), lambda u: sketch(u, width)))
+    def sketched(kind: int, text: Column, coarser: int) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), text["grain"].alias("grain"),
+            level(text, text["grain"] + coarser).alias("digests"),
+        )
 
-    return F.concat_ws(
-        ":", text["grain"].cast("string"), sketched(text["grain"], FINE), sketched(text["grain"] + 1, COARSE)
+    text, edited = F.col("text_units"), F.col("edited_units")
+    sets = F.array(sketched(0, text, 0), sketched(1, text, 1), sketched(2, edited, 0), sketched(3, edited, 1))
+    width = F.when(F.col("kind") % 2 == 0, FINE).otherwise(COARSE).cast("long")
+    placed = (
+        made.select("id", "version", F.inline(sets))
+        .select(*keys, width.alias("width"), F.explode("digests").alias("digest"))
+        .select(*keys, "width", F.lit(1).alias("n"), packed(F.col("digest")).alias("x"))
+    )
+    cells = [F.struct(place.alias("cell"), "n", "x") for place in _places(F.col("x"), F.col("width"), 0)]
+    summed = _summed(placed.select(*keys, "width", F.inline(F.array(*cells))), keys)
+    held = F.array_sort(F.collect_list(F.struct("cell", "n", "x"))).cast("string")
+    sketches = summed.groupBy(keys).agg(held.alias("cells"))
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("cells")))
+    grain = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("grain")))
+
+    def text_of(kind: int) -> Column:
+        return F.concat_ws(":", grain(kind).cast("string"), of(kind), of(kind + 1))
+
+    return sketches.groupBy("id", "version").agg(
+        text_of(0).alias("fingerprint"), text_of(2).alias("edited_fingerprint")
     )
 
 
@@ -358,10 +349,17 @@ def compare_with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return staged(rows, "paragraph-digests")
 
 
+def once_each(made: DataFrame) -> DataFrame:
+    """One row of every document, whose copies are all alike."""
+    return made.where("copies = 1").unionByName(
+        made.where("copies > 1").dropDuplicates(["id", "version"])
+    )
+
+
 def likenesses(made: DataFrame) -> DataFrame:
-    """Per document (id, version): near_edited, near_next and whether both peeled (`tries`)."""
+    """Per document (id, version): near_edited, near_next and how many sketches it took (tries)."""
     key = ["id", "version"]
-    once = made.where("copies = 1").unionByName(made.where("copies > 1").dropDuplicates(key))
+    once = once_each(made)
     following = once.select(
         F.col("last_id").alias("id"), F.col("last_version").alias("version"), F.col("text_units").alias("next_units")
     )
@@ -390,13 +388,16 @@ def likenesses(made: DataFrame) -> DataFrame:
 
 def op4(spark: SparkSession, docs: DataFrame) -> DataFrame:
     made = compare_with_next(spark, docs)
-    # Pairs of equal sets leave no cell and no row here: they are alike.
-    return made.join(likenesses(made), ["id", "version"], "left").select(
+    key = ["id", "version"]
+    dealt = once_each(made).select(*key, "text_units", "edited_units").repartition(*key)
+    # Texts without words have no cells; pairs of equal sets leave none: they are alike.
+    named = made.join(fingerprints(dealt), key, "left").join(likenesses(made), key, "left")
+    return named.select(
         F.when(F.col("id") != SMALLEST, F.col("id")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
-        fingerprint(F.col("text_units")).alias("fingerprint"),
-        fingerprint(F.col("edited_units")).alias("edited_fingerprint"),
+        F.coalesce("fingerprint", F.lit("0")).alias("fingerprint"),
+        F.coalesce("edited_fingerprint", F.lit("0")).alias("edited_fingerprint"),
         F.coalesce("near_edited", F.lit(1.0)).alias("near_edited"),
         F.coalesce("near_next", F.lit(1.0)).alias("near_next"),
     )
