@@ -3,11 +3,16 @@
 A page is read as a sequence of tags and words. Words score by the log-odds that words of their
 surroundings stand in content, tags score below nothing by the log-odds of their kind, both
 learned from pages whose own markup labels the content (one <article> or <main>); a prior of
-`prior_words` words a feature stands in for what those pages do not show. One linear scan finds
-the best contiguous region. Inside it, parts that are never content (menus, forms, adverts,
+`prior_words` words a feature stands in for what those pages do not show. Words and tags inside an
+<article> or <main> have scores of their own, so links, lists, tables and images within it do not cut
+the text off. One linear scan finds the best contiguous region. Inside it, parts that are never content (menus, forms, adverts,
 reader comments and so on) are left out. Weights are counted over all labelled pages by partial
 aggregation and are one row per feature of a closed list, whatever the number of pages.
 
+A script, style, iframe, textarea, title or noscript without an end tag takes the rest of the page with
+it, as in browsers; any other tag without one loses nothing, and a self-closed svg holds nothing.
+Open tags are kept with what is above them, so deep or broken markup takes linear time.
+
 Null or empty html gives empty text. Rows that repeat an id are each returned. With no labelled
 page the priors decide. An empty table gives no rows. Other columns are not read.
 """
@@ -33,6 +38,8 @@ ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "select"}
+#: Those that take the rest of the page when they are never closed.
+SWALLOW = {"script", "style", "noscript", "textarea", "iframe", "title"}
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
     "track", "wbr",
@@ -54,6 +61,13 @@ APART_NAMES = {
     "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe",
     "subscription", "widget", "toolbar", "pagination", "pager", "login", "signup", "alert",
 }
+#: What may follow such a leading word inside labelled content: "related-posts" is apart there,
+#: "related-work" is not.
+APART_TAILS = {
+    "area", "articles", "bar", "block", "box", "button", "buttons", "container", "content", "form",
+    "inner", "item", "items", "links", "list", "panel", "placeholder", "posts", "section", "slot", "space",
+    "stories", "thread", "title", "unit", "widget", "wrap", "wrapper", "zone",
+}
 CONTENT_NAMES = {"article", "main", "content", "post", "entry", "story", "body", "text"}
 #: A word inside one closes them in turn, as parsers do.
 CLOSES = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"},
@@ -67,6 +81,11 @@ PRIOR = {
     "tag:inline": -0.1, "tag:link": -1.0, "tag:p": -0.1, "tag:heading": -0.5, "tag:list": -0.5,
     "tag:box": -1.5, "tag:cell": -0.3, "tag:apart": -3.0, "tag:content": -0.1, "tag:other": -0.5,
 }
+#: The same inside labelled content: every word counts for it, and tags cost next to nothing.
+PRIOR |= {
+    f"{feature}:in": -0.02 if feature.startswith("tag:") else max(1.0, score)
+    for feature, score in PRIOR.items()
+}
 KIND = {
     **dict.fromkeys(["p", "br"], "p"), **{f"h{i}": "heading" for i in range(1, 7)},
     **dict.fromkeys(["ul", "ol", "li", "dl", "dt", "dd"], "list"),
@@ -90,7 +109,8 @@ def apart_names(tag: str, given: dict[str, str], inside: bool) -> set[str]:
     """The words of APART_NAMES that a tag's class, id or role stands under.
 
     Headings, paragraphs and inline tags inside labelled content have none, and their ids never
-    count: those are anchors. Nor does the leading word of an id inside labelled content."""
+    count: those are anchors. Nor does the leading word of an id inside labelled content; that of a
+    class counts there before words of APART_TAILS only."""
     small = tag not in BLOCKS or tag == "p" or KIND.get(tag) == "heading"
     if small and inside:
         return set()
@@ -100,18 +120,34 @@ def apart_names(tag: str, given: dict[str, str], inside: bool) -> set[str]:
             continue
         for token in given.get(attribute, "").split():
             found.add(token.lower())
-            if attribute != "id" or not inside:
-                found.update(w.lower() for w in NAME_PART.findall(token)[:1])
+            first, *tail = [w.lower() for w in NAME_PART.findall(token)] or [""]
+            if not inside or (attribute != "id" and all(w in APART_TAILS or w.isdigit() for w in tail)):
+                found.add(first)
     return found & APART_NAMES
 
 
+class Open:
+    """An open element, with what holds for everything in it."""
+
+    __slots__ = ("tag", "kind", "apart", "labelled", "link", "near")
+
+    def __init__(self, tag: str, kind: str, apart: bool, above: Open | None):
+        self.tag, self.kind = tag, kind
+        self.apart = apart or (above is not None and above.apart)
+        self.labelled = tag in LABEL or (above is not None and above.labelled)
+        self.link = kind == "link" or (above is not None and above.link)
+        self.near = kind if f"word:{kind}" in PRIOR else above.near if above is not None else "other"
+
+
 class Page:
     """Events of a page: (feature, text or None, block number, inside labelled content)."""
 
     def __init__(self, source: str):
         self.events: list[tuple[str, str | None, int, bool]] = []
-        self.stack: list[tuple[str, str, bool]] = []  # tag, kind, apart
+        self.stack: list[Open] = []
+        self.open: Counter = Counter()  # tags on the stack
         self.block, self.labels = 0, 0
+        endless: set[str] = set()  # raw tags with no end tag ahead
         at = 0
         while m := TOKEN.match(source, at):
             at = m.end()
@@ -120,35 +156,55 @@ class Page:
                 self._end(tag)
             elif tag:
                 self._start(tag, m[2] or "")
-                if tag in RAW:  # only its own end tag ends it
-                    end = re.compile(f"</{tag}[\\s/>]", re.IGNORECASE).search(source, at)
-                    at = end.start() if end else len(source)
+                if tag in RAW and not (tag == "svg" and (m[2] or "").rstrip().endswith("/")):
+                    # Only its own end tag ends it.
+                    end = None
+                    if tag not in endless:
+                        end = re.compile(f"</{tag}[\\s/>]", re.IGNORECASE).search(source, at)
+                    if end:
+                        at = end.start()
+                    elif tag in SWALLOW:
+                        at = len(source)
+                    else:
+                        endless.add(tag)
             elif m[0][0] != "<" or m[3]:
                 self._text(m[0])
 
+    def _above(self) -> Open | None:
+        return self.stack[-1] if self.stack else None
+
     def _apart(self) -> bool:
-        return bool(self.stack) and self.stack[-1][2]
+        return bool(self.stack) and self.stack[-1].apart
 
     def _labelled(self) -> bool:
-        return any(t in LABEL for t, _, _ in self.stack)
+        return bool(self.stack) and self.stack[-1].labelled
+
+    def _pop(self) -> Open:
+        last = self.stack.pop()
+        self.open[last.tag] -= 1
+        return last
+
+    def _event(self, feature: str, text: str | None) -> None:
+        inside = self._labelled()
+        self.events.append((f"{feature}:in" if inside else feature, text, self.block, inside))
 
     def _emit_tag(self, kind: str) -> None:
-        if self._apart():  # a part left out costs its two outer tags, however large it is
-            return
-        feature = f"tag:{kind if f'tag:{kind}' in PRIOR else 'other'}"
-        self.events.append((feature, None, self.block, self._labelled()))
+        if not self._apart():  # a part left out costs its two outer tags, however large it is
+            self._event(f"tag:{kind if f'tag:{kind}' in PRIOR else 'other'}", None)
 
     def _start(self, tag: str, source: str) -> None:
         if tag in BLOCKS:
             self.block += 1
+        if tag in VOID and self._labelled():  # images and line breaks in an article cost nothing
+            return
         if tag in RAW or tag in VOID:
             self._emit_tag(KIND.get(tag, "inline"))
             return
-        if tag in ENDS_P and any(t == "p" for t, _, _ in self.stack[-3:]):
-            while self.stack and any(t == "p" for t, _, _ in self.stack[-3:]):
-                self.stack.pop()
-        elif tag in CLOSES and self.stack and self.stack[-1][0] in CLOSES[tag]:
-            self.stack.pop()
+        if tag in ENDS_P and any(o.tag == "p" for o in self.stack[-3:]):
+            while self.stack and any(o.tag == "p" for o in self.stack[-3:]):
+                self._pop()
+        elif tag in CLOSES and self.stack and self.stack[-1].tag in CLOSES[tag]:
+            self._pop()
         given = attributes(source) if source.strip() else {}
         names = {
             part.lower()
@@ -170,24 +226,23 @@ class Page:
         if tag == "div" and names & CONTENT_NAMES and not apart:
             kind = "content"
         self._emit_tag(kind)
-        self.stack.append((tag, kind, apart or self._apart()))
+        self.stack.append(Open(tag, kind, apart, self._above()))
+        self.open[tag] += 1
 
     def _end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.block += 1
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                kind = self.stack[i][1]
-                del self.stack[i:]
-                self._emit_tag(kind)
-                return
+        if self.open[tag] > 0:
+            while (last := self._pop()).tag != tag:
+                pass
+            self._emit_tag(last.kind)
 
     def _text(self, text: str) -> None:
         if self._apart():
             return
-        kinds = [k for _, k, _ in self.stack]
-        near = "link" if "link" in kinds else next((k for k in reversed(kinds) if f"word:{k}" in PRIOR), "other")
-        self.events.append((f"word:{near}", html.unescape(text), self.block, self._labelled()))
+        above = self._above()
+        near = "other" if above is None else "link" if above.link else above.near
+        self._event(f"word:{near}", html.unescape(text))
 
     def best(self, weights: dict[str, float]) -> tuple[int, int]:
         """First and last event (exclusive) of the region with the greatest score."""
@@ -213,11 +268,16 @@ class Page:
         return " ".join("".join(parts).split())
 
     def counts(self) -> Counter:
-        """(feature, inside labelled content): words or tags; nothing unless one part is labelled."""
+        """(feature, inside labelled content): words or tags; nothing unless one part is labelled.
+
+        What is inside also counts for the scores of pages without labels."""
         out: Counter = Counter()
         if self.labels == 1:
             for feature, text, _, inside in self.events:
-                out[feature, inside] += len(text.split()) if text is not None else 1
+                n = len(text.split()) if text is not None else 1
+                out[feature, inside] += n
+                if inside:
+                    out[feature.removesuffix(":in"), inside] += n
         return out
 
 

@@ -362,3 +362,60 @@ def test_language_priors_decide_without_text(spark):
     rows = [(i, "http://www.h.fr/a", f"<p>{fr * 3}</p>") for i in range(20)] + [(99, "http://www.h.fr/b", "")]
     out = language.op9(docs, spark.createDataFrame(rows, PAGES)).collect()
     assert next(r.lang for r in out if r.page_id == 99) == "fr"
+
+
+PARAGRAPHS = [f"{WORDS} first.", f"{WORDS} last."]
+INSIDE = {
+    "links": "<ul>" + "".join(f'<li><a href="/{i}">item {i}</a></li>' for i in range(30)) + "</ul>",
+    "table": "<table>" + "".join(f"<tr><td>{i}</td><td>{i * i}</td></tr>" for i in range(30)) + "</table>",
+    "images": '<img src="x.png" alt="no"><br>' * 40,
+    "self-closed": '<svg class="i"/> epsilon <svg viewBox="0 0 1 1" /> zeta',
+    "unclosed svg": '<svg class="i"> epsilon zeta',
+    "unclosed select": "<select> epsilon zeta",
+    "sections": '<section class="related-work"><p>earlier work</p></section><div class="search-results">found</div>',
+}
+
+
+@pytest.mark.parametrize("name", INSIDE)
+def test_nothing_inside_an_article_is_lost(spark, name):
+    weights = html_region.learn_weights(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    first, last = PARAGRAPHS
+    body = "".join(AROUND) + f"<article><p>{first}</p>{INSIDE[name]}<p>{last}</p></article>" + AROUND[0]
+    text = html_region.Page(page(body)).main_text(weights)
+    assert text.startswith(first) and text.endswith(last)
+    middle = text[len(first) : -len(last)].split()
+    wanted = {
+        "links": [w for i in range(30) for w in ("item", str(i))],
+        "table": [w for i in range(30) for w in (str(i), str(i * i))],
+        "images": [], "sections": "earlier work found".split(),
+    }
+    assert middle == wanted.get(name, ["epsilon", "zeta"])
+
+
+def test_parts_apart_inside_an_article_still_go(spark):
+    apart = "".join(
+        f'<div class="{c}"><p>{WORDS} away</p></div>'
+        for c in ("related", "related-posts", "comments", "comment-list", "share-buttons", "ad", "advert-box-2")
+    )
+    body = f"<article><p>{PARAGRAPHS[0]}</p>{apart}<p>{PARAGRAPHS[1]}</p></article>"
+    weights = dict(html_region.PRIOR)
+    assert html_region.Page(page(body)).main_text(weights) == " ".join(PARAGRAPHS)
+
+
+def test_deep_and_broken_markup_takes_linear_time():
+    import time
+
+    def seconds(source):
+        start = time.perf_counter()
+        made = html_region.Page(source)
+        assert len(made.events) > 1000
+        return time.perf_counter() - start
+
+    for piece in ("<div>x", "<svg>x", "<p>x</b></i></div>", "<article><p>x"):
+        few, many = seconds(piece * 4000), seconds(piece * 32_000)
+        assert many < 40 * few + 0.5, piece
+
+
+def test_unclosed_script_takes_the_rest():
+    body = f"<article><p>{PARAGRAPHS[0]}</p><script>var x = 1; <p>{PARAGRAPHS[1]}</p></article>"
+    assert html_region.Page(page(body)).main_text(dict(html_region.PRIOR)) == PARAGRAPHS[0]
