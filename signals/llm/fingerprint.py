@@ -43,7 +43,7 @@ ROWS = 3
 FINE, COARSE = 48, 24  # cells in a row of each sketch of a fingerprint
 LEAST, RUN = 64, 16
 DIGEST = 1 << 27
-TRIES, STEPS = 3, 4
+TRIES, STEPS, FINER = 3, 4, 4
 #: Blocks of scripts written without spaces (Thai to Myanmar, Khmer, Han, kana and their
 #: extensions). The first condition keeps other characters from being held against each block.
 UNSPACED = (
@@ -349,6 +349,13 @@ def compare_with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return staged(rows, "paragraph-digests")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt by document, into more parts than other shuffles: the aggregations that follow
+    hold a dozen cells for every digest dealt here."""
+    parts = FINER * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, "id", "version")
+
+
 def once_each(made: DataFrame) -> DataFrame:
     """One row of every document, whose copies are all alike."""
     return made.where("copies = 1").unionByName(
@@ -372,8 +379,8 @@ def likenesses(made: DataFrame) -> DataFrame:
         )
 
     pairs = (
-        once.select(*key, "text_units", "edited_units")
-        .join(following, key)
+        dealt(once.select(*key, "text_units", "edited_units"))
+        .join(dealt(following), key)
         .select(*key, F.inline(F.array(pair(0, edited), pair(1, after))))
     )
     sized = pairs.withColumn("total", F.size("a") + F.size("b"))
@@ -389,9 +396,9 @@ def likenesses(made: DataFrame) -> DataFrame:
 def op4(spark: SparkSession, docs: DataFrame) -> DataFrame:
     made = compare_with_next(spark, docs)
     key = ["id", "version"]
-    dealt = once_each(made).select(*key, "text_units", "edited_units").repartition(*key)
+    once = dealt(once_each(made).select(*key, "text_units", "edited_units"))
     # Texts without words have no cells; pairs of equal sets leave none: they are alike.
-    named = made.join(fingerprints(dealt), key, "left").join(likenesses(made), key, "left")
+    named = made.join(fingerprints(once), key, "left").join(likenesses(made), key, "left")
     return named.select(
         F.when(F.col("id") != SMALLEST, F.col("id")).alias("doc_id"),
         "n_chars",
