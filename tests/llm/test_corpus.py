@@ -9,6 +9,7 @@ import re
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from signals.llm import decontaminate, ngram_join, quality, secrets
 
@@ -290,3 +291,16 @@ def test_pipeline_stages(spark, tmp_path):
     for doc in ids[3]:
         mine = sorted((r.start, r.length) for r in pieces if r.doc_id == doc)
         assert mine[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(mine, mine[1:]))
+
+
+def test_near_duplicate_removal_with_clashing_columns(spark):
+    from signals.llm import ngram_join
+
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (2, text + " more"), (2, text + " more"), (3, None), (4, ""), (5, "else entirely other words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("mark", "stays", "own_mark", "row", "row_key", "n", "node"):
+        docs = docs.withColumn(name, F.lit(7))
+    kept = ngram_join.keep_one(docs, ngram_join.Rule(k=5, num=80, den=100))
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5]
