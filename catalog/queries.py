@@ -97,7 +97,7 @@ PAIRS = {
     "parse_mixed_date": ("clean_campaigns", ["date_start_raw", "date_start"]),
     "parse_mixed_end_date": ("clean_campaigns", ["date_end_raw", "date_end"]),
     "parse_money": ("clean_campaigns", ["spend_raw", "spend_amount"]),
-    "detect_currency": ("clean_campaigns", ["spend_currency", "converted_from_eur"]),
+    "detect_currency": ("clean_campaigns", ["spend_raw", "spend_currency", "converted_from_eur"]),
     "convert_fx": (
         "clean_campaigns", ["spend_amount", "spend_currency", "fx_rate_to_fcfa", "spend_fcfa"]
     ),

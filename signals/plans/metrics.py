@@ -150,7 +150,7 @@ def _check_dimensions(metric: Metric, dimensions: tuple[str, ...]) -> None:
 
 
 def metric_query(tables: Tables, intent: Intent) -> DataFrame:
-    """The metric's value, with its components, by the asked dimensions."""
+    """The metric's value, with its components, by the asked dimensions and in their order."""
     metric = get_metric(intent.metric)
     _check_dimensions(metric, intent.dimensions)
     table = tables(metric.table)
@@ -161,11 +161,12 @@ def metric_query(tables: Tables, intent: Intent) -> DataFrame:
         return revenue_growth(rows, metric.name)
     values = {metric.name: metric.expression, **metric.components}
     columns = [F.expr(expression).alias(name) for name, expression in values.items()]
-    return rows.groupBy(*intent.dimensions).agg(*columns) if intent.dimensions else rows.agg(*columns)
+    result = rows.groupBy(*intent.dimensions).agg(*columns) if intent.dimensions else rows.agg(*columns)
+    return ordered(result, intent)
 
 
 def ordered(result: DataFrame, intent: Intent) -> DataFrame:
-    """Result in the order of its dimensions, for display."""
+    """Result in the order of its dimensions: months and members, never rows of a fact."""
     return result.orderBy(*intent.dimensions) if intent.dimensions else result
 
 

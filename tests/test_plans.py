@@ -111,6 +111,13 @@ def test_metric_query_refuses_what_is_not_declared():
         filters.resolve_members("print", labels.CHANNEL_ALIASES)
 
 
+def test_metric_results_come_in_order(spark):
+    rows = [(date(2026, m, 1), c, float(m)) for m in (3, 1, 2) for c in ("Radio", "Meta")]
+    table = spark.createDataFrame(rows, "month date, channel string, campaign_spend_fcfa double").repartition(3)
+    made = metrics.metric_query(lambda _: table, Intent("spend", ("month", "channel"))).collect()
+    assert [(r.month.month, r.channel) for r in made] == [(m, c) for m in (1, 2, 3) for c in ("Meta", "Radio")]
+
+
 def test_relative_months_must_be_positive(spark):
     table = monthly(spark, [1.0]).withColumnRenamed("value", "net_revenue_fcfa")
     with pytest.raises(ValueError, match="positive"):
