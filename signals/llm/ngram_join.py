@@ -18,8 +18,13 @@ Two texts link when den * |A & B| >= num * |A | B| over their sets of distinct `
   pairs that pass are emitted and verified exactly on whole texts.
 * Components are found by alternating large and small stars over the links.
 
-No pair of a group is emitted unverified beyond its star, no group is collected into one task
-beyond a tile, and nothing is capped. Each text is shuffled once, to fetch one text per node.
+No pair of a group is emitted unverified beyond its star, and nothing is capped. Each text is
+shuffled once, to fetch one text per node. No key with a large share of rows lands in one task:
+group figures are aggregates that combine before they shuffle, and keys with at least 1 in `HEAVY`
+of the rows of a join, at most `HEAVY` keys, have their figures broadcast (`skew_join`). Sketch parts
+that are common in a sample of texts are spread over `SALTS` tasks; the sample decides where rows
+go, never which rows stay. In a group with several components, members of its largest one are
+compared with the others only, never with each other.
 
 Null texts, empty texts and texts without words have an empty set and link with nothing. Texts of
 fewer than k words are one shingle. Rows that repeat an id or a text are each returned; the
@@ -49,6 +54,9 @@ STAR = 64
 ROWS = "key long, node long, doc_id long, n int"
 SPARE = 0.1
 BATCH_KEYS = 200_000
+HEAVY = 10_000
+SALTS = 256
+SAMPLE = 4000
 
 
 @dataclass(frozen=True)
@@ -182,17 +190,59 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def skew_join(rows: DataFrame, figures: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of a written table of `total` rows with one line of figures per `key`.
+
+    `figures` has a column `in_rows`, the key's number of rows. Keys with 1 in `HEAVY` of all rows
+    or more are at most `HEAVY` lines of numbers: they are broadcast and their rows stay where
+    they are. All other rows are joined by a shuffle."""
+    heavy = F.col("in_rows") * HEAVY >= max(total, HEAVY)
+    hot = F.broadcast(figures.where(heavy))
+    rest = rows.join(F.broadcast(figures.where(heavy).select(key)), key, "left_anti").join(figures.where(~heavy), key)
+    return rows.join(hot, key).unionByName(rest).drop("in_rows")
+
+
+def _keys(rule: Rule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                tokens = shingle_set(text.as_py(), rule.k)
+                if len(tokens):
+                    yield pa.RecordBatch.from_arrays([pa.array(part_keys(tokens, rule).view(np.int64))], names=["key"])
+
+    return run
+
+
+def common_parts(source: DataFrame, rule: Rule) -> DataFrame:
+    """The `HEAVY` most common keys of about `SAMPLE` texts that at least four of them hold."""
+    share = min(1.0, SAMPLE / max(1, source.count()))
+    return (
+        source.select("text")
+        .sample(share, seed=7)
+        .mapInArrow(_keys(rule), "key long")
+        .groupBy("key")
+        .agg(F.count("*").alias("held"))
+        .where("held >= 4")
+        .orderBy(F.desc("held"), "key")
+        .limit(HEAVY)
+        .select("key", F.lit(True).alias("common"))
+    )
+
+
 def groups(source: DataFrame, rule: Rule) -> DataFrame:
-    """A written table of every row's own line (n set) and of the nodes in groups of two or more."""
-    rows = source.mapInArrow(_emit(rule), ROWS)
-    alike = Window.partitionBy("key")
+    """A written table of every row's own line (n set) and of the nodes in groups of two or more.
+
+    The nodes of a common key are spread by node, so that such a key stays even if it has one."""
+    rows = source.mapInArrow(_emit(rule), ROWS).join(F.broadcast(common_parts(source, rule)), "key", "left")
+    dealt = rows.withColumn("salt", F.when(F.col("common"), F.pmod(F.xxhash64("node"), F.lit(SALTS))))
+    alike = Window.partitionBy("key", "salt")
     before = F.lag("node").over(alike.orderBy("node"))
     return staged(
-        rows.withColumn("again", before.eqNullSafe(F.col("node")))
+        dealt.withColumn("again", before.eqNullSafe(F.col("node")))
         .withColumn("low", F.min("node").over(alike))
         .withColumn("high", F.max("node").over(alike))
-        .where("n IS NOT NULL OR (low <> high AND NOT again)")
-        .drop("again", "low", "high"),
+        .where("n IS NOT NULL OR ((low <> high OR common) AND NOT again)")
+        .select("key", "node", "doc_id", "n"),
         "sketch-groups",
     )
 
@@ -231,14 +281,17 @@ def node_texts(source: DataFrame, table: DataFrame, rule: Rule) -> DataFrame:
     return staged(made, "node-texts")
 
 
-def star_edges(members: DataFrame) -> DataFrame:
+def star_edges(members: DataFrame, total: int) -> DataFrame:
     """(a, b): every member of a group with the member that stands in the largest groups."""
-    sized = members.withColumn("size", F.count("*").over(Window.partitionBy("key")))
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).withColumn("in_rows", F.col("size"))
+    sized = skew_join(members, sizes, "key", total)
     weight = sized.groupBy("node").agg(F.sum("size").alias("weight"))
-    centre = F.max(F.struct("weight", "node")).over(Window.partitionBy("key"))["node"]
+    weighed = staged(members.join(weight, "node"), "weighed-members")
+    centres = weighed.groupBy("key").agg(
+        F.max(F.struct("weight", "node"))["node"].alias("a"), F.count("*").alias("in_rows")
+    )
     return (
-        members.join(weight, "node")
-        .withColumn("a", centre)
+        skew_join(weighed, centres, "key", total)
         .where("a <> node")
         .select("a", F.col("node").alias("b"))
         .distinct()
@@ -256,8 +309,9 @@ def _check_star(rule: Rule):
 
 
 def verify(edges: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """The (a, b) that link. Each task sees one `a` with about `STAR` of its partners."""
-    split = edges.join(edges.groupBy("a").agg(F.count("*").alias("n")), "a").select(
+    """The (a, b) of a written table that link. Each task sees one `a` with about `STAR` partners."""
+    degrees = edges.groupBy("a").agg(F.count("*").alias("n")).withColumn("in_rows", F.col("n"))
+    split = skew_join(edges, degrees, "a", edges.count()).select(
         "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / STAR)).alias("share")
     )
     members = split.select("a", "share", F.col("b").alias("node")).union(
@@ -338,25 +392,36 @@ def _near_pairs(rule: Rule):
     return run
 
 
-def remaining_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def remaining_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame, rule: Rule, total: int) -> DataFrame:
     """(a, b) of one group and two components that the sketches' distance does not rule out."""
-    alike = Window.partitionBy("key")
-    placed = (
-        members.join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-        .withColumn("low", F.min("root").over(alike))
-        .withColumn("high", F.max("root").over(alike))
-        .withColumn("tiles", F.ceil(F.count("*").over(alike) / TILE).cast("int"))
-        .where("low <> high")
-        .withColumn("home", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    by_root = rooted.groupBy("key", "root").agg(F.count("*").alias("in_root"))
+    mixed = (
+        by_root.groupBy("key")
+        .agg(F.max(F.struct("in_root", "root")).alias("main"), F.sum("in_root").alias("in_rows"))
+        .where("in_rows > main.in_root")
+        .select(
+            "key", "in_rows", F.col("main.root").alias("main"),
+            F.ceil(F.col("main.in_root") / TILE).alias("own"),
+            F.ceil((F.col("in_rows") - F.col("main.in_root")) / TILE).alias("others"),
+        )
+    )
+    mixed = staged(mixed, "mixed-groups")
+    # Tiles are numbered with those of the main component first; no two of these meet.
+    is_main = F.col("root") == F.col("main")
+    last = F.col("own") + F.col("others") - 1
+    met = F.when(is_main, F.sequence("own", last)).otherwise(F.sequence(F.lit(0).cast("long"), last))
+    at = F.when(is_main, F.pmod(F.xxhash64("node"), F.col("own"))).otherwise(
+        F.col("own") + F.pmod(F.xxhash64("node"), F.col("others"))
+    )
+    full = (
+        skew_join(rooted, mixed, "key", total)
+        .join(texts.select("node", "n", "sketch"), "node")
+        .select("key", at.alias("home"), "node", "root", "n", "sketch", F.explode(met).alias("other"))
         .withColumn("far", F.greatest("home", "other"))
         # Tile pairs are numbered by their triangle: far * (far + 1) / 2 + near.
-        .withColumn("tile", (F.col("far") * (F.col("far") + 1) / 2 + F.least("home", "other")).cast("int"))
-        .select("key", "tile", "home", "node", "root")
-    )
-    full = placed.join(texts.select("node", "n", "sketch"), "node").select(
-        "key", "tile", "home", "node", "root", "n", "sketch"
+        .withColumn("tile", F.expr("far * (far + 1) div 2 + least(home, other)"))
+        .select("key", "tile", "home", "node", "root", "n", "sketch")
     )
     dealt = full.repartition("key", "tile").sortWithinPartitions("key", "tile")
     return dealt.mapInArrow(_near_pairs(rule), "a long, b long").distinct()
@@ -365,16 +430,17 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame, rule
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node with a link, root the least node of its component."""
     edges = staged(links.select("a", "b").where("a <> b").distinct(), "component-edges")
-    before = None
+    before, n = None, edges.count()
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        down = large.where("a <> b")
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a")
+        near = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("in_rows"))
+        met = skew_join(both, near, "a", 2 * n)
+        large = met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        down = staged(large.where("a <> b"), "component-large")
+        least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("in_rows"))
+        small = skew_join(down, least, "a", down.count())
         edges = staged(
-            small.select("a", F.col("m").alias("b"))
+            least.select("a", F.col("m").alias("b"))
             .union(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
             .distinct(),
             "component-edges",
@@ -382,7 +448,7 @@ def components(links: DataFrame) -> DataFrame:
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = now
+        before, n = now, now[0]
 
 
 def release(spark: SparkSession) -> None:
@@ -399,10 +465,11 @@ def links(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     release(spark)
     members = table.where("n IS NULL").select("key", "node")
     texts = node_texts(source, table, rule)
-    stars = staged(star_edges(members), "star-edges")
+    total = members.count()
+    stars = staged(star_edges(members, total), "star-edges")
     found = verify(stars, texts, rule)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = remaining_pairs(members, components(found), texts, rule).join(tried, ["a", "b"], "left_anti")
+    rest = remaining_pairs(members, components(found), texts, rule, total).join(tried, ["a", "b"], "left_anti")
     more = verify(staged(rest, "remaining-pairs"), texts, rule)
     return table.where("n IS NOT NULL"), found.union(more)
 
@@ -412,11 +479,15 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     lines, found = links(docs, rule)
     roots = components(found)
     filled = lines.where("n > 0")
-    least = filled.groupBy("node").agg(F.min("doc_id").alias("least"))
-    placed = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    of_root = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_node = placed.join(of_root, "root").select("node", "component_id")
-    joined = filled.join(of_node, "node").select("doc_id", "key", "n", "component_id")
+    least = filled.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    placed = staged(
+        least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "component-nodes"
+    )
+    of_root = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("in_rows"))
+    of_node = skew_join(placed, of_root, "root", placed.count()).select(
+        "node", "component_id", F.col("copies").alias("in_rows")
+    )
+    joined = skew_join(filled, of_node, "node", filled.count()).select("doc_id", "key", "n", "component_id")
     empty = lines.where("n = 0").select("doc_id", "key", "n", F.col("doc_id").alias("component_id"))
     return joined.union(empty).select(
         "doc_id", F.col("key").alias("row_key"), F.col("n").cast("long").alias("n_shingles"), "component_id"

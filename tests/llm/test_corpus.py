@@ -92,6 +92,21 @@ def test_ngram_join_of_a_large_family(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_ngram_join_with_few_broadcast_keys_and_small_tiles(spark, monkeypatch):
+    """Both ways of a skewed join and several tiles a group: a family, strays from it, copies."""
+    monkeypatch.setattr(ngram_join, "HEAVY", 40)
+    monkeypatch.setattr(ngram_join, "TILE", 7)
+    rng = random.Random(11)
+    base = prose(rng, 120, 10**6)
+    texts = [(i, edited(rng, base, 1)) for i in range(60)]
+    texts += [(100 + i, edited(rng, base, 9)) for i in range(20)]
+    texts += [(200 + i, base) for i in range(20)]
+    want = brute_components(texts, 4, 85, 100)
+    got = ngram_join.op10(frame(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len({c for _, c in want.values()}) > 1
+
+
 def test_keep_one_keeps_one_row_of_each_group(spark, corpus):
     want = brute_components(corpus, 5, 80, 100)
     kept = ngram_join.keep_one(frame(spark, corpus), corpus_pipeline.NEAR).collect()
