@@ -282,16 +282,15 @@ def node_texts(source: DataFrame, table: DataFrame, rule: Rule) -> DataFrame:
 
 
 def star_edges(members: DataFrame, total: int) -> DataFrame:
-    """(a, b): every member of a group with the member that stands in the largest groups."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("size")).withColumn("in_rows", F.col("size"))
-    sized = skew_join(members, sizes, "key", total)
-    weight = sized.groupBy("node").agg(F.sum("size").alias("weight"))
-    weighed = staged(members.join(weight, "node"), "weighed-members")
-    centres = weighed.groupBy("key").agg(
-        F.max(F.struct("weight", "node"))["node"].alias("a"), F.count("*").alias("in_rows")
+    """(a, b): every member of a group with the member that stands in the most groups."""
+    weight = members.groupBy("node").agg(F.count("*").alias("weight"))
+    centres = (
+        members.join(weight, "node")
+        .groupBy("key")
+        .agg(F.max(F.struct("weight", "node"))["node"].alias("a"), F.count("*").alias("in_rows"))
     )
     return (
-        skew_join(weighed, centres, "key", total)
+        skew_join(members, centres, "key", total)
         .where("a <> node")
         .select("a", F.col("node").alias("b"))
         .distinct()
