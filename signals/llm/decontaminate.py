@@ -9,9 +9,11 @@ comparison all work on that small table. A matching prefix fixes where its windo
 start (positional bound); a start before the document or an end behind it is out (length bound);
 what is left is compared word by word.
 
-Item shingles are broadcast while there are at most `broadcast_shingles` of them (a stated size,
-checked), else Spark joins by shuffle. Positions grow with what documents share with items; one
-document's positions are bounded by its text.
+Item shingles are broadcast while there are at most `broadcast_shingles` of them and their texts
+hold at most `broadcast_bytes` (both checked). Beyond that they are joined by shuffle: rows of that
+join carry a position and its shingle only, and the words around are cut afterwards from the texts
+of the documents that hold any, shuffled once. Both ways give the same positions. Positions grow
+with what documents share with items; one document's positions are bounded by its text.
 
 Null texts and texts without words have no words, no hits and no items. Items without words have
 no windows; repeated items count once by id, null ids are not counted. Rows that repeat a
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from signals.llm.common import staged, text_key
 
 SHINGLE = 3
+#: Starts the shingle of a document's own line (no word holds it), over `ENDS` keys.
+END, ENDS = "\x00", 1024
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Capitals beyond A-Z, which only the slower way of lower-casing leaves alone.
@@ -69,42 +73,64 @@ def shingles_of(windows: DataFrame) -> DataFrame:
 
 
 def marked_positions(
-    docs: DataFrame, shingles: DataFrame, window: int, broadcast_shingles: int
+    docs: DataFrame, shingles: DataFrame, window: int, broadcast_shingles: int, broadcast_bytes: int
 ) -> DataFrame:
     """Where documents hold item shingles, with the words around, and one row more per document
     whose shingle is empty and whose position is its number of words."""
     keys = shingles.select("shingle", F.least("length", F.lit(SHINGLE)).alias("k")).distinct()
     keys = staged(keys, "item-shingles")
-    sizes = sorted(r.k for r in keys.select("k").distinct().collect())  # among 1, 2, 3
-    keys = keys.select("shingle").union(docs.sparkSession.createDataFrame([("",)], "shingle string"))
-    if keys.count() <= broadcast_shingles:
-        keys = F.broadcast(keys)
+    found = keys.agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("shingle")).alias("bytes"), F.collect_set("k").alias("sizes")
+    ).first()
+    sizes = sorted(found["sizes"]) or [1]  # among 1, 2, 3
+    own = docs.select("doc_id", text_key().alias("version"), "text")
     words, n = F.col("words"), F.size("words") - 1  # an empty word ends the list
+    # A document's own line: its key is spread, so that no task gets the lines of all documents.
+    end = F.concat(F.lit(END), F.pmod(F.xxhash64("doc_id", "version"), F.lit(ENDS)).cast("string"))
+    ends = docs.sparkSession.range(ENDS).select(F.concat(F.lit(END), F.col("id").cast("string")).alias("shingle"))
+    keys = keys.select("shingle").union(ends)
 
     def shingle(k: int):
         whole = F.concat_ws(" ", F.col("word"), *(F.get(words, F.col("pos") + i) for i in range(1, k)))
-        return F.when(F.col("pos") == n, F.lit("") if k == (sizes or [1])[0] else None).when(
-            F.col("pos") + k <= n, whole
-        )
+        return F.when(F.col("pos") == n, end if k == sizes[0] else None).when(F.col("pos") + k <= n, whole)
 
-    made = [shingle(k) for k in sizes or [1]]
-    placed = docs.select(
-        "doc_id",
-        text_key().alias("version"),
-        F.concat(words_of(F.col("text")), F.array(F.lit(""))).alias("words"),
+    made = [shingle(k) for k in sizes]
+    placed = own.select(
+        "doc_id", "version", F.concat(words_of(F.col("text")), F.array(F.lit(""))).alias("words")
     ).select("doc_id", "version", "words", F.posexplode_outer("words").alias("pos", "word"))
-    if len(made) == 1:
-        placed = placed.withColumn("shingle", made[0])
-    else:
-        placed = placed.withColumn("shingle", F.explode(F.array(*made)))
+    placed = placed.withColumn("shingle", made[0] if len(made) == 1 else F.explode(F.array(*made)))
     first = F.greatest(F.col("pos") - window, F.lit(0))
-    return staged(
-        placed.join(keys, "shingle").select(
-            "doc_id", "version", "pos", "shingle", n.alias("n_words"), first.alias("first"),
-            F.when(F.col("shingle") != "", F.slice(words, first + 1, 2 * window)).alias("around"),
-        ),
-        "item-shingle-positions",
+    around = F.slice(words, first + 1, 2 * window)
+    is_end = F.col("shingle").startswith(END)
+    named = F.when(is_end, F.lit("")).otherwise(F.col("shingle")).alias("shingle")
+    if found["n"] <= broadcast_shingles and (found["bytes"] or 0) <= broadcast_bytes:
+        return staged(
+            placed.join(F.broadcast(keys), "shingle").select(
+                "doc_id", "version", "pos", named, n.alias("n_words"), first.alias("first"),
+                F.when(~is_end, around).alias("around"),
+            ),
+            "item-shingle-positions",
+        )
+    places = staged(
+        placed.select("doc_id", "version", "pos", "shingle", n.alias("n_words")).join(keys, "shingle"),
+        "item-shingle-places",
+    )
+    spots = (
+        places.where(~is_end)
+        .groupBy(F.col("doc_id").alias("spot_id"), F.col("version").alias("spot_version"), "n_words")
+        .agg(F.collect_set(F.struct("pos", "shingle")).alias("spots"))
+    )
+    cut = (
+        own.join(spots, own.doc_id.eqNullSafe(spots.spot_id) & (own.version == spots.spot_version))
+        .select("doc_id", "version", "n_words", words_of(F.col("text")).alias("words"), "spots")
+        .select("doc_id", "version", "n_words", "words", F.inline("spots"))
+        .select("doc_id", "version", "pos", "shingle", "n_words", first.alias("first"), around.alias("around"))
+    )
+    lines = places.where(is_end).select(
+        "doc_id", "version", "pos", named, "n_words", F.lit(0).alias("first"),
+        F.lit(None).cast("array<string>").alias("around"),
     )
+    return staged(cut.union(lines), "item-shingle-positions")
 
 
 def rarest(shingles: DataFrame, marks: DataFrame) -> DataFrame:
@@ -120,12 +146,13 @@ def rarest(shingles: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def occurrences(
-    docs: DataFrame, items: DataFrame, window: int = 10, broadcast_shingles: int = 2_000_000
+    docs: DataFrame, items: DataFrame, window: int = 10,
+    broadcast_shingles: int = 2_000_000, broadcast_bytes: int = 1 << 27,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with their number of words, exact occurrences of windows, windows by item)."""
     windows = windows_of(items, window)
     shingles = shingles_of(windows)
-    marks = marked_positions(docs, shingles, window, broadcast_shingles)
+    marks = marked_positions(docs, shingles, window, broadcast_shingles, broadcast_bytes)
     start = F.col("pos") - F.col("offset")
     found = (
         marks.where("shingle <> ''")

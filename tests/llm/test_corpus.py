@@ -168,7 +168,7 @@ def test_decontamination_equals_brute_force_and_sql(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     assert any(r[-1] for r in want) and not all(r[-1] for r in want)
-    for settings in ({}, {"broadcast_shingles": 0}):
+    for settings in ({}, {"broadcast_shingles": 0}, {"broadcast_bytes": 0}):
         made = decontaminate.decontaminate(docs, bench, **settings)
         assert sorted((r.doc_id, r.n_words, r.n_hit, len(r["items"])) for r in made.collect()) == [
             r[:4] for r in want
