@@ -7,8 +7,9 @@
 * Host: prior of a host's languages, smoothed towards its domain's, and that towards the corpus's.
   A row's own posterior is taken out of its host's and domain's sums first.
 
-All counts are grouped aggregates over all rows. Hosts come back to the rows by a join salted
-`SALTS` ways, so a host with a third of all rows is spread. The text model is `BUCKETS` numbers a
+All counts are grouped aggregates over all rows, the learned ones written once. A host has one
+suffix, so suffixes are joined to hosts; the figures of hosts come back to the rows by a join in
+which hosts with a large share of all rows are broadcast (`skew_join`). The text model is `BUCKETS` numbers a
 language, and at most `max_languages` languages are told apart (codes are a closed set; more is an
 error, not a cut).
 
@@ -29,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signals.llm.common import staged
+from signals.llm.ngram_join import skew_join
 
 BUCKETS = 1 << 12
-SALTS = 8
 #: Byte trigrams overlap, so a text counts as a third of them; no text outweighs all else.
 TEMPER, MOST = 1 / 3, 300.0
 TAG = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.DOTALL | re.IGNORECASE)
@@ -75,11 +76,12 @@ def learn(docs: DataFrame, max_languages: int = 400) -> tuple[list[str], np.ndar
         F.col("lang").isNotNull()
         & (F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) != 0)
     )
-    counted = (
+    counted = staged(
         known.select("text", "lang")
         .mapInArrow(_counts, "lang string, bucket int, n double")
         .groupBy("lang", "bucket")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n")),
+        "language-counts",
     )
     if counted.where("bucket = -1").count() > max_languages:
         raise ValueError(f"more than {max_languages} languages")
@@ -182,21 +184,24 @@ def identify(
         .withColumn("domain", F.coalesce("domain", "host"))
     )
     rows = staged(found.withColumn("p", _softmax(F.col("logs"))), "language-evidence")
-    hosts = _sums(rows, ["domain", "host"], len(names), "host_sums")
+    hosts = staged(
+        rows.groupBy("domain", "host", "suffix").agg(
+            F.array(*(F.sum(F.col("p")[i]) for i in width)).alias("host_sums"), F.count("*").alias("in_rows")
+        ),
+        "language-hosts",
+    )
     domains = hosts.groupBy("domain").agg(
         F.array(*(F.sum(F.col("host_sums")[i]) for i in width)).alias("domain_sums")
     )
-    priors = hosts.join(domains, "domain").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    every = rows.agg(*(F.sum(F.col("p")[i]).alias(f"s{i}") for i in width)).first()
+    suffixes = _likelihood(hosts.withColumn("p", F.col("host_sums")), "suffix", names, value_weight, False)
+    priors = hosts.join(domains, "domain").join(suffixes, "suffix", "left").drop("domain", "suffix")
+    every = hosts.agg(
+        F.sum("in_rows").alias("n"), *(F.sum(F.col("host_sums")[i]).alias(f"s{i}") for i in width)
+    ).first()
     counts = [(every[f"s{i}"] or 0.0) + 1 for i in width]
-    fused = (
-        rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "page_id"), F.lit(SALTS)).cast("int"))
-        .join(priors, ["domain", "host", "salt"], "left")
-        # At most 26^2 + 26^3 declared codes.
-        .join(F.broadcast(_likelihood(rows, "declared", names, value_weight, True)), "declared", "left")
-        .join(_likelihood(rows, "suffix", names, value_weight, False), "suffix", "left")
+    # At most 26^2 + 26^3 declared codes.
+    fused = skew_join(rows.drop("domain", "suffix"), priors, "host", every["n"] or 0).join(
+        F.broadcast(_likelihood(rows, "declared", names, value_weight, True)), "declared", "left"
     )
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     base = [F.lit(c / sum(counts)) for c in counts]

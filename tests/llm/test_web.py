@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import html
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from signals.llm import fingerprint, html_region, language, warc
+from signals.llm import fingerprint, html_region, language, ngram_join, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 PAGES = "page_id long, url string, html string"
@@ -364,6 +366,78 @@ def test_language_priors_decide_without_text(spark):
     assert next(r.lang for r in out if r.page_id == 99) == "fr"
 
 
+def brute_posteriors(docs, pages, host_weight=10.0, value_weight=20.0):
+    """(doc_id, page_id, lang, probability) of every row, by the formulas of Bayesian fusion written out."""
+    counts = {}
+    for i, text, lang in docs:
+        if lang is not None and zlib.crc32(("" if i is None else str(i)).encode()) % 5:
+            counts[lang] = counts.get(lang, 0) + language.trigram_counts(text or "")
+    names = sorted(counts)
+    seen = np.array([counts[n] for n in names]) + 0.5
+    logs = np.log(seen / seen.sum(axis=1, keepdims=True))
+    rows = [(i, None, text or "", None, f"source:s{i % 2}", f"source:s{i % 2}", None) for i, text, _ in docs]
+    for i, url, source in pages:
+        host = url.split("/")[2] if url else None
+        domain = ".".join(host.split(".")[-2:]) if host else ""
+        text = html.unescape(language.TAG.sub(" ", source))
+        rows.append((None, i, text, html_lang(source), host or "", domain, host.split(".")[-1] if host and "." in host else None))
+    text_logs, p = [], []
+    for row in rows:
+        grams = language.trigram_counts(row[2])
+        text_logs.append(logs @ grams * min(1 / 3, 300 / max(1, grams.sum())))
+        grown = np.exp(text_logs[-1] - text_logs[-1].max())
+        p.append(grown / grown.sum())
+
+    def summed(column):
+        out = {}
+        for row, own in zip(rows, p, strict=True):
+            out[row[column]] = out.get(row[column], 0) + own
+        return out
+
+    def value_logs(column, own):
+        sums = {k: v for k, v in summed(column).items() if k is not None}
+        total, values = sum(sums.values(), np.zeros(len(names))), max(1, len(sums))
+        for value in sums:
+            flat = np.full(len(names), (0.2 if own else 1.0) / values)
+            if own and value in names:
+                flat[names.index(value)] = 0.8
+            sums[value] = np.log((sums[value] + value_weight * flat) / (total + value_weight))
+        return sums
+
+    declared, suffixes, hosts, domains = value_logs(3, True), value_logs(6, False), summed(4), summed(5)
+    base = sum(p) + 1
+    base = base / base.sum()
+    out = []
+    for row, own, from_text in zip(rows, p, text_logs, strict=True):
+        domain = (domains[row[5]] - own + host_weight * base) / (domains[row[5]].sum() - 1 + host_weight)
+        host = (hosts[row[4]] - own + host_weight * domain) / (hosts[row[4]].sum() - 1 + host_weight)
+        score = from_text + np.log(np.maximum(host, 1e-9)) + declared.get(row[3], 0) + suffixes.get(row[6], 0)
+        grown = np.exp(score - score.max())
+        out.append((row[0], row[1], names[int(grown.argmax())], grown.max() / grown.sum()))
+    return out
+
+
+@pytest.mark.parametrize("heavy", [10_000, 4])
+def test_language_posterior_equals_brute_force(spark, monkeypatch, heavy):
+    """Hosts with and without a large share of the rows, weak and mixed evidence of every kind."""
+    monkeypatch.setattr(ngram_join, "HEAVY", heavy)
+    rng = random.Random(4)
+    said = {"en": "the cat sat on mat with hat", "fr": "le chat est sur la table avec", "de": "der hund ist auf dem tisch mit"}
+    mixed = lambda n: " ".join(rng.choice(said[rng.choice(list(said))].split()) for _ in range(n))
+    docs = [(i, mixed(rng.randrange(12)), rng.choice([*said, None])) for i in range(60)]
+    pages = [
+        (i, rng.choice(["http://www.a.fr/x", "http://b.a.fr/", "http://c.de/", "http://one/", None]),
+         rng.choice(["<html lang=fr>", '<html lang="de">', "<html lang=pt>", ""]) + f"<p>{mixed(rng.randrange(4))}</p>")
+        for i in range(80)
+    ]
+    frame = spark.createDataFrame([(i, t, g, f"s{i % 2}", 0) for i, t, g in docs], DOCS)
+    got = {(r.doc_id, r.page_id): r for r in language.op9(frame, spark.createDataFrame(pages, PAGES)).collect()}
+    want = brute_posteriors(docs, pages)
+    assert len(got) == len(want)
+    for i, page_id, lang, probability in want:
+        assert abs(got[i, page_id].probability - probability) < 1e-9 and got[i, page_id].lang == lang
+
+
 PARAGRAPHS = [f"{WORDS} first.", f"{WORDS} last."]
 INSIDE = {
     "links": "<ul>" + "".join(f'<li><a href="/{i}">item {i}</a></li>' for i in range(30)) + "</ul>",
